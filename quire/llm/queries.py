@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.avi import media_digests, text_media
+from quire.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from quire.llm.mixing import MIX_SQL, mix
 from quire.llm.packing import pack
 from quire.llm.token_counts import token_counts
 from quire.llm.token_store import read_ids, write_ids
@@ -21,23 +24,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder, manifest = write_ids(docs, tokenizer("word_bpe_49k.json"), end_id=1)
     return read_ids(folder, manifest, docs)
 
 
+def op9_avi_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digests(text_media(table(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_mix_sources": op4_mix_sources,
     "op8_token_store": op8_token_store,
+    "op9_avi_clips": op9_avi_clips,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_exact_dedup": EXACT_DEDUP_SQL, "op4_mix_sources": MIX_SQL}
