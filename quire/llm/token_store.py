@@ -1,9 +1,10 @@
-"""Token ids on disk: shards of raw little-endian unsigned 32-bit ids, each with a minimal perfect hash index.
+"""Token ids on disk: shards of raw little-endian unsigned ids, each with a minimal perfect hash index.
 
 Files of a store's folder, for shard s:
 
-* ``s.ids``: the ids of all its documents in ascending key order, end ids included, and nothing else.
-* ``s.idx``: magic, sizes, the perfect hash over the shard's keys, by slot a fingerprint of the key with the first
+* ``s.ids``: the ids of all its documents in ascending key order, end ids included, and nothing else; 16 bits an id
+  where the vocabulary and the end id allow it, else 32.
+* ``s.idx``: magic, bytes an id, sizes, the perfect hash over the shard's keys, by slot a fingerprint of the key with the first
   row and the number of rows that bear it, and the place of every row in the payload.
 
 A key's slot is found from its hash alone, so an access reads one slot and one range of the payload. A key that was
@@ -50,7 +51,7 @@ def _fingerprint(h: np.ndarray) -> np.ndarray:
     return (K.mixed(~h) >> np.uint64(32)).astype(np.uint32)
 
 
-def index_bytes(keys: np.ndarray, lengths: np.ndarray) -> bytes:
+def index_bytes(keys: np.ndarray, lengths: np.ndarray, width: int = 4) -> bytes:
     """Index of rows in payload order; rows that repeat a key follow each other and share a slot."""
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
@@ -64,7 +65,7 @@ def index_bytes(keys: np.ndarray, lengths: np.ndarray) -> bytes:
     slots["row"][at] = first
     table = ph.tobytes()
     places = np.concatenate([[0], np.cumsum(lengths)]).astype("<u8")
-    return MAGIC + struct.pack("<QQQ", len(first), len(keys), len(table)) + slots.tobytes() + places.tobytes() + table
+    return MAGIC + struct.pack("<QQQQ", width, len(first), len(keys), len(table)) + slots.tobytes() + places.tobytes() + table
 
 
 class Shard:
@@ -75,9 +76,9 @@ class Shard:
             raw = f.read()
         if raw[:8] != MAGIC:
             raise ValueError(f"{folder}/{shard}.idx is no index of token ids")
-        n, rows, size = struct.unpack_from("<QQQ", raw, 8)
-        self.slots = np.frombuffer(raw, SLOT, n, 32)
-        self.places = np.frombuffer(raw, "<u8", rows + 1, 32 + SLOT.itemsize * n).astype(np.int64)
+        self.width, n, rows, size = struct.unpack_from("<QQQQ", raw, 8)
+        self.slots = np.frombuffer(raw, SLOT, n, 40)
+        self.places = np.frombuffer(raw, "<u8", rows + 1, 40 + SLOT.itemsize * n).astype(np.int64)
         self.ph = PerfectHash.frombytes(raw[len(raw) - size :])
         self.payload = common.open_file(folder, f"{shard}.ids")
 
@@ -93,8 +94,8 @@ class Shard:
 
     def ids(self, row: int) -> np.ndarray:
         start, end = self.places[row : row + 2].tolist()
-        self.payload.seek(4 * start)
-        return np.frombuffer(self.payload.read(4 * (end - start)), "<u4")
+        self.payload.seek(self.width * start)
+        return np.frombuffer(self.payload.read(self.width * (end - start)), f"<u{self.width}").astype("<u4")
 
 
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
@@ -112,18 +113,19 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | No
 
         shard, encoder = TaskContext.get().partitionId(), load(WordIds, tokenizer)
         keys, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        width = 2 if max(encoder.largest, end_id) < 1 << 16 else 4
 
         def payload() -> Iterator[bytes]:
             for b in common.slices(batches, 2 << 20):
                 ids, n = encoder.encode(b.column("text"))
                 keys.append(_keys(b.column("id")))
                 lengths.append(n + 1)
-                yield np.insert(ids, np.cumsum(n), end_id).astype("<u4").tobytes()
+                yield np.insert(ids, np.cumsum(n), end_id).astype(f"<u{width}").tobytes()
 
         size = common.put_file(folder, f"{shard}.ids", payload())
         k = np.concatenate(keys)
-        common.put_file(folder, f"{shard}.idx", iter([index_bytes(k, np.concatenate(lengths))]))
-        rows = [{"shard": shard, "rows": len(k), "ids": size // 4, "first_key": int(k[0])}] if len(k) else []
+        common.put_file(folder, f"{shard}.idx", iter([index_bytes(k, np.concatenate(lengths), width)]))
+        rows = [{"shard": shard, "rows": len(k), "ids": size // width, "first_key": int(k[0])}] if len(k) else []
         yield pa.RecordBatch.from_pylist(rows, schema=common.arrow_schema(schema))
 
     order = F.col("id").asc_nulls_first()

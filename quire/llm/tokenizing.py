@@ -89,10 +89,11 @@ class WordIds(_Pieces):
         first, *_ = (self.spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         steps = [x.get("type") for x in (self.spec.get("normalizer") or {}).get("normalizers", [])]
         mark = self.spec["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.largest = max(vocabulary.values())
         self.reuse = bool(mark) and steps == ["NFC", "Replace", "Lowercase"] and first.get("behavior") == "Removed" and bool(first.get("invert")) and first.get("pattern", {}).get("Regex") == _WORDS
         if self.reuse:
-            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last = np.zeros(self.largest + 1, bool)
             self.last[[i for t, i in vocabulary.items() if t.endswith(mark)]] = True
 
     def whole(self, text: str) -> np.ndarray:
