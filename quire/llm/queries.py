@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.avi import media_digests, text_media
 from quire.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from quire.llm.licenses import license_scan
 from quire.llm.mixing import MIX_SQL, mix
 from quire.llm.packing import pack
 from quire.llm.token_counts import token_counts
 from quire.llm.token_store import read_ids, write_ids
+from quire.llm.warc import ARCHIVE_SQL, archive
 
 
 def tokenizer(name: str) -> str:
@@ -36,6 +38,14 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder, manifest = write_ids(docs, tokenizer("word_bpe_49k.json"), end_id=1)
@@ -54,8 +64,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_mix_sources": op4_mix_sources,
+    "op5_license_scan": op5_license_scan,
+    "op6_warc_members": op6_warc_members,
     "op8_token_store": op8_token_store,
     "op9_avi_clips": op9_avi_clips,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {"op1_exact_dedup": EXACT_DEDUP_SQL, "op4_mix_sources": MIX_SQL}
+ORACLE: dict[str, str] = {"op1_exact_dedup": EXACT_DEDUP_SQL, "op4_mix_sources": MIX_SQL, "op6_warc_members": ARCHIVE_SQL}
