@@ -13,6 +13,7 @@ from quire.llm.mixing import MIX_SQL, mix
 from quire.llm.packing import pack
 from quire.llm.token_counts import token_counts
 from quire.llm.token_store import read_ids, write_ids
+from quire.llm.toxicity import toxicity
 from quire.llm.warc import ARCHIVE_SQL, archive
 
 
@@ -30,6 +31,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1)
 
@@ -62,6 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_mix_sources": op4_mix_sources,
     "op5_license_scan": op5_license_scan,
