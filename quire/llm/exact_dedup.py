@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import common
@@ -36,8 +36,12 @@ SHARD_DIGESTS = 100_000
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and 32-byte SHA-256 digest of each normalised text."""
-    one_space = F.regexp_replace(F.col("text"), r"[\x20\x09-\x0D]+", " ")
-    return common.texts_of(docs, id_col, text_col).select("id", F.unhex(F.sha2(one_space.cast("binary"), 256)).alias("digest"))
+    return docs.select(F.col(id_col).cast("long").alias("id"), digest_of(F.col(text_col)).alias("digest"))
+
+
+def digest_of(text: Column) -> Column:
+    one_space = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    return F.unhex(F.sha2(one_space.cast("binary"), 256))
 
 
 def _summed(rows: DataFrame) -> DataFrame:
@@ -104,20 +108,33 @@ def look_up(batch: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     return summed.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(resolve, FOUND)
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history_share: float = 0.5) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 of every row; the smallest id of equal texts is kept.
+def groups(rows: DataFrame, history_share: float = 0.5) -> DataFrame:
+    """digest, keep_id and group_size of each distinct digest of stored (id, digest) rows.
 
     The rows with the lower ids, up to history_share of the range, are the history that the index covers; the others
     are the new batch. The result doesn't depend on the share.
     """
-    spark = common.session(docs)
-    rows = common.stored(digests(docs, id_col, text_col), "digests")
+    spark = common.session(rows)
     low, high, n = rows.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
     border = (low or 0) + int(((high or 0) - (low or 0)) * history_share)
     shards = max(1, min(1 << 20, max(common.partitions_for(spark), -(-int(n * history_share) // SHARD_DIGESTS))))
     old = F.coalesce(F.col("id") <= border, F.lit(False))
     index = common.stored(build_index(rows.where(old), shards), "digest-index")
-    found = look_up(rows.where(~old), index, shards)
+    return look_up(rows.where(~old), index, shards)
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that exact_dedup() keeps, with all their columns."""
+    found = groups(common.stored(digests(docs, id_col, text_col), "digests"))
+    winner = found.select(F.col("digest").alias("__of"), F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("__keep"))
+    rows = docs.withColumn("__digest", digest_of(F.col(text_col)))
+    return rows.join(winner, (F.col("__digest") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi").select(*docs.columns)
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history_share: float = 0.5) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 of every row; the smallest id of equal texts is kept."""
+    rows = common.stored(digests(docs, id_col, text_col), "digests")
+    found = groups(rows, history_share)
     # A join that Spark may split: a digest with a third of all rows is dealt over many tasks.
     joined = rows.join(found.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"))
     keep = F.when(F.col("keep_id") != NO_ID, F.col("keep_id"))

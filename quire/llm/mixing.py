@@ -77,6 +77,14 @@ def mix(docs: DataFrame, most: int = 3, seed: str = "mix", id_col: str = "doc_id
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
+def mixed_rows(docs: DataFrame, most: int = 3, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Every row as often as mix() takes it, with all its columns. Rows that repeat an id share its copies evenly."""
+    taken = mix(docs, most, seed, id_col, text_col, source_col).groupBy(F.col("doc_id").alias("__id"))
+    times = taken.agg(F.floor(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("__times")).where("__times > 0")
+    rows = docs.join(times, F.col(id_col).eqNullSafe(F.col("__id")))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+
+
 MIX_SQL = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),

@@ -10,6 +10,7 @@ from quire.llm.avi import media_digests, text_media
 from quire.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from quire.llm.licenses import license_scan
 from quire.llm.mixing import MIX_SQL, mix
+from quire.llm.near_join import NEAR_JOIN_SQL, near_join
 from quire.llm.packing import pack
 from quire.llm.token_counts import token_counts
 from quire.llm.token_store import read_ids, write_ids
@@ -51,6 +52,10 @@ def op6_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages"))
 
 
+def op7_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder, manifest = write_ids(docs, tokenizer("word_bpe_49k.json"), end_id=1)
@@ -72,8 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_license_scan": op5_license_scan,
     "op6_warc_members": op6_warc_members,
+    "op7_near_join": op7_near_join,
     "op8_token_store": op8_token_store,
     "op9_avi_clips": op9_avi_clips,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {"op1_exact_dedup": EXACT_DEDUP_SQL, "op4_mix_sources": MIX_SQL, "op6_warc_members": ARCHIVE_SQL}
+ORACLE: dict[str, str] = {"op1_exact_dedup": EXACT_DEDUP_SQL, "op4_mix_sources": MIX_SQL, "op6_warc_members": ARCHIVE_SQL, "op7_near_join": NEAR_JOIN_SQL}

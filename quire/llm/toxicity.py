@@ -147,25 +147,47 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4000) -> Model:
     return Model(np.frombuffer(m["buckets"], "<i8"), np.frombuffer(m["weights"], "<f8"), m["bias"])
 
 
+def _weights(model: Model) -> np.ndarray:
+    weights = np.zeros(1 << BITS)
+    weights[model.buckets] = model.weights
+    return weights
+
+
+def _scores(texts: pa.Array, model: Model, weights: np.ndarray) -> np.ndarray:
+    row, bucket = distinct_grams([t or "" for t in texts.to_pylist()], weights != 0)
+    s = model.bias + np.bincount(row, weights[bucket], len(texts))
+    return 1 / (1 + np.exp(-np.clip(s, -700, 700)))
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score and predicted of (id, text, held_out) rows."""
     shared = common.session(docs).sparkContext.broadcast(model)
     schema = common.struct(SCORES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        weights = np.zeros(1 << BITS)
-        weights[m.buckets] = m.weights
-        wanted = weights != 0
+        weights = _weights(shared.value)
         for b in common.slices(batches, 1 << 20):
-            row, bucket = distinct_grams([t or "" for t in b.column("text").to_pylist()], wanted)
-            s = m.bias + np.bincount(row, weights[bucket], b.num_rows)
-            s = 1 / (1 + np.exp(-np.clip(s, -700, 700)))
+            s = _scores(b.column("text"), shared.value, weights)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], schema=common.arrow_schema(schema))
 
     return docs.mapInArrow(run, schema)
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that toxicity() doesn't predict as toxic, with all their columns."""
+    common.bounded_batches(common.session(docs))
+    model = train(common.texts_of(docs, id_col, text_col), labels.where(_fold(F.col("doc_id")) != 1), most_rows)
+    shared = common.session(docs).sparkContext.broadcast(model)
+    column = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = _weights(shared.value)
+        for b in common.slices(batches, 1 << 20):
+            yield b.filter(pa.array(_scores(b.column(column), shared.value, weights) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on labelled rows outside the held-out third and score every row."""
     common.bounded_batches(common.session(docs))
