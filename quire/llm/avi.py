@@ -186,7 +186,8 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return common.texts_of(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def _read(media: bytes | None) -> tuple[np.ndarray, float, list[int]]:
+def _read(media: bytes | None) -> tuple[np.ndarray, float, list[tuple[int, int]]]:
+    """Samples, frames a second and the first and last frame of each shot; none of a null or unreadable value."""
     if media is None:
         return np.zeros((0, SAMPLES), np.uint8), FRAMES_PER_S, []
     try:
@@ -194,7 +195,8 @@ def _read(media: bytes | None) -> tuple[np.ndarray, float, list[int]]:
         samples = decoded_frames(frames)
     except (ValueError, struct.error):
         return np.zeros((0, SAMPLES), np.uint8), FRAMES_PER_S, []
-    return samples, rate, cuts(samples)
+    firsts = cuts(samples)
+    return samples, rate, [(a, b - 1) for a, b in zip(firsts, [*firsts[1:], len(samples)], strict=False)]
 
 
 def clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -205,9 +207,9 @@ def clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
         for b in batches:
             rows = []
             for i, m in zip(b.column("id").to_pylist(), b.column("media").to_pylist(), strict=True):
-                samples, rate, firsts = _read(m)
-                for c, (a, e) in enumerate(zip(firsts, [*firsts[1:], len(samples)], strict=True)):
-                    rows.append({"doc_id": i, "clip": c, "first_frame": a, "last_frame": e - 1, "start_s": a / rate, "end_s": e / rate, "brightness": float(samples[a:e].mean())})
+                samples, rate, shots = _read(m)
+                for c, (a, e) in enumerate(shots):
+                    rows.append({"doc_id": i, "clip": c, "first_frame": a, "last_frame": e, "start_s": a / rate, "end_s": (e + 1) / rate, "brightness": float(samples[a : e + 1].mean())})
             yield pa.RecordBatch.from_pylist(rows, schema=common.arrow_schema(schema))
 
     return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(run, schema)
@@ -221,11 +223,11 @@ def media_digests(media: DataFrame, id_col: str = "doc_id", media_col: str = "me
         for b in batches:
             rows = []
             for i, m in zip(b.column("id").to_pylist(), b.column("media").to_pylist(), strict=True):
-                samples, rate, firsts = _read(m)
+                samples, rate, shots = _read(m)
                 payload = samples.tobytes()
-                shots = ",".join(f"{a}-{e - 1}" for a, e in zip(firsts, [*firsts[1:], len(samples)], strict=True))
+                spans = ",".join(f"{a}-{e}" for a, e in shots)
                 n = len(payload.rstrip(bytes([PADDING])))  # no UTF-8 text ends in byte 255
-                rows.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m or b""), hashlib.sha256(m or b"").hexdigest(), f"{len(samples)} frames at {rate:g}/s: {shots}"))
+                rows.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m or b""), hashlib.sha256(m or b"").hexdigest(), f"{len(samples)} frames at {rate:g}/s: {spans}"))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(common.arrow_schema(schema))], schema=common.arrow_schema(schema))
 
     return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(run, schema)

@@ -373,7 +373,7 @@ def _links(classes: DataFrame, percent: int, tasks: int, chunk_sets: int, chunk_
     task = F.pmod(F.xxhash64("cluster", "chunk"), F.lit(1 << 30))
     # About PIVOTS sets of each cluster, by hash, are in all of its chunks.
     one_of = F.greatest(F.lit(1), (F.col("chunks") * chunk_sets / PIVOTS).cast("long"))
-    pivots = mine.where(F.pmod(F.xxhash64("node", F.lit(1)), one_of) == 0).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("long"))
+    pivots = mine.where(F.pmod(F.xxhash64("node", F.lit(1)), one_of) == 0).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("chunks") - 1).cast("long"))))
     first = mine.unionByName(pivots).withColumn("task", task).withColumn("grp", F.col("task"))
     links = common.stored(links.unionByName(_grouped(first.select(*columns), percent, False)), "links-1")
     # Sets outside of each cluster's largest class meet every chunk.
@@ -383,7 +383,7 @@ def _links(classes: DataFrame, percent: int, tasks: int, chunk_sets: int, chunk_
     outside = roots.join(largest, "cluster").where("root <> largest").select(*mine.columns)
     outside = common.stored(outside.withColumn("part", F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks"))), "outside")
     used = outside.select("cluster", "part", "chunks").distinct()
-    asked = outside.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).cast("long")).withColumn("asked", F.lit(True))
+    asked = outside.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("chunks") - 1).cast("long")))).withColumn("asked", F.lit(True))
     rest = mine.join(used.select("cluster", "part"), "cluster").withColumn("asked", F.lit(False))
     second = asked.unionByName(rest.select(*asked.columns)).withColumn("task", F.pmod(F.xxhash64("cluster", "chunk", "part"), F.lit(1 << 40))).withColumn("grp", F.col("task"))
     return common.stored(links.unionByName(_grouped(second.select(*columns, "asked"), percent, True)), "links-2")
