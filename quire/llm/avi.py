@@ -183,7 +183,7 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             media = [written_avi(frames[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(media, pa.binary())], schema=common.arrow_schema(schema))
 
-    return common.texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.texts_of(docs, id_col, text_col).mapInArrow(common.tidied(run), schema)
 
 
 def _read(media: bytes | None) -> tuple[np.ndarray, float, list[tuple[int, int]]]:
@@ -212,7 +212,7 @@ def clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
                     rows.append({"doc_id": i, "clip": c, "first_frame": a, "last_frame": e, "start_s": a / rate, "end_s": (e + 1) / rate, "brightness": float(samples[a : e + 1].mean())})
             yield pa.RecordBatch.from_pylist(rows, schema=common.arrow_schema(schema))
 
-    return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(run, schema)
+    return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(common.tidied(run), schema)
 
 
 def media_digests(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -230,4 +230,4 @@ def media_digests(media: DataFrame, id_col: str = "doc_id", media_col: str = "me
                 rows.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m or b""), hashlib.sha256(m or b"").hexdigest(), f"{len(samples)} frames at {rate:g}/s: {spans}"))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(common.arrow_schema(schema))], schema=common.arrow_schema(schema))
 
-    return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(run, schema)
+    return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(common.tidied(run), schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import inspect
 import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -92,6 +94,48 @@ def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: Spark keeps Python workers for the next stage, beside its own heap."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def tidied(run):
+    """A function over batches or over one group's rows that tidies up when it is through."""
+
+    @wraps(run)
+    def over_batches(batches):
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    @wraps(run)
+    def over_group(rows):
+        try:
+            return run(rows)
+        finally:
+            tidy()
+
+    @wraps(run)
+    def over_two_groups(left, right):
+        try:
+            return run(left, right)
+        finally:
+            tidy()
+
+    if inspect.isgeneratorfunction(run):
+        return over_batches
+    return over_group if len(inspect.signature(run).parameters) == 1 else over_two_groups
+
+
 def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that none holds more than about most_bytes, or one row."""
     for b in batches:

@@ -78,7 +78,7 @@ def build_index(history: DataFrame, shards: int) -> DataFrame:
         return pd.DataFrame([[int(pdf["shard"].iloc[0]), ph.tobytes(), full.tobytes(), winner.tobytes(), size.tobytes()]], columns=["shard", "hash", "digests", "winners", "sizes"])
 
     summed = _summed(history).withColumn("first", F.coalesce("first", F.lit(NO_ID))).withColumn("shard", _shard(shards))
-    return summed.groupBy("shard").applyInPandas(build, INDEX)
+    return summed.groupBy("shard").applyInPandas(common.tidied(build), INDEX)
 
 
 def look_up(batch: DataFrame, index: DataFrame, shards: int) -> DataFrame:
@@ -105,7 +105,7 @@ def look_up(batch: DataFrame, index: DataFrame, shards: int) -> DataFrame:
         return pd.concat(out, ignore_index=True)
 
     summed = _summed(batch).withColumn("first", F.coalesce("first", F.lit(NO_ID))).withColumn("shard", _shard(shards))
-    return summed.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(resolve, FOUND)
+    return summed.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(common.tidied(resolve), FOUND)
 
 
 def groups(rows: DataFrame, history_share: float = 0.5) -> DataFrame:

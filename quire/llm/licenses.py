@@ -245,7 +245,7 @@ def license_detections(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             rows = [{"doc_id": i, "rule": r.name, "label": r.label, "first_word": a, "last_word": e, "priority": r.priority} for i, words, _ in _texts(b) for r, a, e in detections(words)]
             yield pa.RecordBatch.from_pylist(rows, schema=common.arrow_schema(schema))
 
-    return common.texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.texts_of(docs, id_col, text_col).mapInArrow(common.tidied(run), schema)
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,4 +272,4 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 rows.append((i, n, len(at), min(where, default=None), max(where, default=None), ",".join(own), ",".join(labels), round(1 - doubt, 9)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(common.arrow_schema(schema))], schema=common.arrow_schema(schema))
 
-    return common.texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.texts_of(docs, id_col, text_col).mapInArrow(common.tidied(run), schema)

@@ -41,9 +41,9 @@ from quire.llm.components import components
 
 RESULT = "doc_id long, n_shingles long, component_id long"
 #: Shingles that a task gathers before it hands them on.
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SHINGLES = 1_000_000
 #: Sets and shingles that one task resolves together.
-CHUNK_SETS, CHUNK_SHINGLES = 2_000, 2_000_000
+CHUNK_SETS, CHUNK_SHINGLES = 500, 1_000_000
 PIVOTS = 16
 
 _PLACES = K.mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -129,7 +129,7 @@ def _blocks(rows: DataFrame, size: int, buckets: int) -> DataFrame:
         if ids:
             yield handed_on()
 
-    return rows.mapInArrow(run, "bucket int, block long, ids binary, sizes binary, docs binary, counts binary, packed binary")
+    return rows.mapInArrow(common.tidied(run), "bucket int, block long, ids binary, sizes binary, docs binary, counts binary, packed binary")
 
 
 def _unpacked(packed: bytes) -> np.ndarray:
@@ -351,15 +351,15 @@ def _grouped(classes: DataFrame, percent: int, with_asked: bool) -> DataFrame:
                 found += [(node[a], node[b]) for a, b in links]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    return classes.groupBy("task").applyInPandas(run, "a long, b long")
+    return classes.groupBy("task").applyInPandas(common.tidied(run), "a long, b long")
 
 
 def _links(classes: DataFrame, percent: int, tasks: int, chunk_sets: int, chunk_shingles: int, one_task: int | None) -> DataFrame:
     """Links that connect all classes (node, n, shingles) which links connect."""
     kw = {} if one_task is None else {"one_task": one_task}
     emit, chain = _chains(percent, tasks)
-    packed = classes.mapInArrow(emit, "bucket int, h binary, nodes binary, sizes binary")
-    clusters = components(packed.groupBy("bucket").applyInPandas(chain, "a long, b long"), **kw).withColumnRenamed("root", "cluster")
+    packed = classes.mapInArrow(common.tidied(emit), "bucket int, h binary, nodes binary, sizes binary")
+    clusters = components(packed.groupBy("bucket").applyInPandas(common.tidied(chain), "a long, b long"), **kw).withColumnRenamed("root", "cluster")
     sized = common.stored(classes.join(clusters, "node"), "clusters")
     per = sized.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.octet_length("shingles") / 8).alias("held"))
     per = per.withColumn("chunks", F.ceil(F.greatest(F.col("sets") / chunk_sets, F.col("held") / chunk_shingles)).cast("int"))
@@ -394,10 +394,10 @@ def near_join(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "
     spark = common.session(docs)
     common.bounded_batches(spark)
     tasks = 1 << (common.partitions_for(spark) - 1).bit_length()
-    buckets = max(64, tasks)
+    buckets = max(256, tasks)
     blocks = _blocks(common.texts_of(docs, id_col, text_col), size, buckets)
-    shared = blocks.groupBy("bucket").applyInPandas(_shared, "block long, ids binary, sizes binary, docs binary, shingles binary, ranks binary")
-    known = common.stored(shared.groupBy("block").applyInPandas(_settled(percent), "id long, n long, key binary, shingles binary"), "sets")
+    shared = blocks.groupBy("bucket").applyInPandas(common.tidied(_shared), "block long, ids binary, sizes binary, docs binary, shingles binary, ranks binary")
+    known = common.stored(shared.groupBy("block").applyInPandas(common.tidied(_settled(percent)), "id long, n long, key binary, shingles binary"), "sets")
     of_key = F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")
     per = known.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("shingles").alias("shingles"))
     classes = common.stored(per.withColumn("node", of_key), "classes")

@@ -240,7 +240,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 1
             columns = [b.column("id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(np.full(len(row), part), pa.int32()), pa.array(rank)]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
-    return common.texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.texts_of(docs, id_col, text_col).mapInArrow(common.tidied(run), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, groups: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,4 +268,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1,
             columns = [*b.columns[:5], pa.array(mine[:, 3] + rank - mine[:, 1]), pa.array(mine[:, 4])]
             yield pa.RecordBatch.from_arrays(columns, schema=common.arrow_schema(schema))
 
-    return ranked.mapInArrow(assign, schema)
+    return ranked.mapInArrow(common.tidied(assign), schema)

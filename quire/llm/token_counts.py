@@ -50,4 +50,4 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
             _, at = K.buffer_of(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.diff(at)), pa.array(n), pa.array(n > limit)], schema=out)
 
-    return common.texts_of(docs, id_col, text_col).mapInArrow(run, schema)
+    return common.texts_of(docs, id_col, text_col).mapInArrow(common.tidied(run), schema)

@@ -131,7 +131,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | No
     order = F.col("id").asc_nulls_first()
     rows = common.texts_of(docs, id_col, text_col)
     ranged = rows.repartitionByRange(common.partitions_for(spark), order).sortWithinPartitions(order, F.col("text"))
-    return folder, common.stored(ranged.mapInArrow(run, schema), "manifest")
+    return folder, common.stored(ranged.mapInArrow(common.tidied(run), schema), "manifest")
 
 
 def read_ids(folder: str, manifest: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -168,5 +168,5 @@ def read_ids(folder: str, manifest: DataFrame, keys: DataFrame, id_col: str = "d
                         out.append((None if mine[i] == NULL_KEY else int(mine[i]), int(before[p] + ids_of.places[r]), len(ids), zlib.crc32(ids)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], schema=common.arrow_schema(schema))
 
-    placed = keys.select(F.col(id_col).cast("long").alias("id")).distinct().mapInArrow(place, pair)
-    return placed.repartition(common.partitions_for(spark), "part").sortWithinPartitions("part").mapInArrow(read, schema)
+    placed = keys.select(F.col(id_col).cast("long").alias("id")).distinct().mapInArrow(common.tidied(place), pair)
+    return placed.repartition(common.partitions_for(spark), "part").sortWithinPartitions("part").mapInArrow(common.tidied(read), schema)

@@ -139,8 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4000) -> Model:
         m = fit([np.frombuffer(x, "<u4").astype(np.int64) for x in pdf["packed"]], pdf["toxic"].to_numpy() > 0)
         return pd.DataFrame([[m.buckets.astype("<i8").tobytes(), m.weights.astype("<f8").tobytes(), m.bias]], columns=["buckets", "weights", "bias"])
 
-    packed = sample_of(docs, labels, most_rows).mapInArrow(features, "one int, packed binary, toxic int")
-    found = common.stored(packed.groupBy("one").applyInPandas(fitted, "buckets binary, weights binary, bias double"), "toxicity-model").collect()
+    packed = sample_of(docs, labels, most_rows).mapInArrow(common.tidied(features), "one int, packed binary, toxic int")
+    found = common.stored(packed.groupBy("one").applyInPandas(common.tidied(fitted), "buckets binary, weights binary, bias double"), "toxicity-model").collect()
     if not found:
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
     m = found[0]
@@ -170,7 +170,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
             s = _scores(b.column("text"), shared.value, weights)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], schema=common.arrow_schema(schema))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.tidied(run), schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,7 +185,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mo
         for b in common.slices(batches, 1 << 20):
             yield b.filter(pa.array(_scores(b.column(column), shared.value, weights) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.tidied(run), docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -88,7 +88,7 @@ def write_monolithic(pages: DataFrame, folder: str) -> DataFrame:
         common.put_file(folder, name, stream())
         yield pa.RecordBatch.from_pylist([{"shard": part, "folder": folder, "name": name, "records": n}] if n else [], schema=common.arrow_schema(schema))
 
-    return common.stored(pages.mapInArrow(run, schema), "warc-shards")
+    return common.stored(pages.mapInArrow(common.tidied(run), schema), "warc-shards")
 
 
 def records_in(chunks: Iterator[bytes]) -> Iterator[bytes]:
@@ -157,7 +157,7 @@ def normalise(shards: DataFrame, keep: bool = False) -> DataFrame:
                 done.append(s | {"name": name, "records": n})
             yield pa.RecordBatch.from_pylist(done, schema=common.arrow_schema(schema))
 
-    out = common.stored(shards.repartition(common.partitions_for(common.session(shards)), "shard").mapInArrow(run, schema), "warc-normal")
+    out = common.stored(shards.repartition(common.partitions_for(common.session(shards)), "shard").mapInArrow(common.tidied(run), schema), "warc-normal")
     if not keep:  # only now: a task that ran again would have missed its input
         for s in shards.toLocalIterator():
             fs, path = common.filesystem(s["folder"])
@@ -202,7 +202,7 @@ def read_back(shards: DataFrame) -> DataFrame:
                             rows.append(row(zlib.decompress(f.read(size), 31)))
                         yield pa.RecordBatch.from_pylist(rows, schema=common.arrow_schema(schema))
 
-    return shards.repartition(common.partitions_for(common.session(shards)), "shard").mapInArrow(run, schema)
+    return shards.repartition(common.partitions_for(common.session(shards)), "shard").mapInArrow(common.tidied(run), schema)
 
 
 def archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
