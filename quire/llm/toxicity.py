@@ -1,7 +1,7 @@
 """Toxicity scores: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text's features are the distinct hashed 4-, 5- and 6-grams of its lower-cased characters, white space as spaces, with
-a space before and after. From labelled texts, r = log((p / |p|) / (q / |q|)), p and q being one plus the numbers of
+A text's features are the distinct 4-, 5- and 6-grams of its lower-cased characters, by a 32-bit hash, white space as
+spaces, with a space before and after. From labelled texts, r = log((p / |p|) / (q / |q|)), p and q being one plus the numbers of
 toxic and clean texts with a feature, |p| and |q| two plus the numbers of texts. Features whose ratio isn't `sure` standard errors above zero are left out. A
 logistic regression with an L1 penalty and no negative weights is trained on presence times r, so that clean words
 around a toxic one never lower a text's score.
@@ -27,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import common
+from quire.llm.kernels import mixed
 
 ORDERS = (4, 5, 6)
-BITS = 22
+BITS, SIEVE = 32, 22
 _A = np.uint64(0x9E3779B97F4A7C15)
 _C = np.uint64(0xD6E8FEB86659FD93)
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
@@ -58,12 +59,15 @@ def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield text[inside], ((x * _A) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def distinct_grams(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, bucket) pairs in order; wanted: a mask over buckets."""
+def distinct_grams(texts: list[str], wanted: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text number, bucket) pairs in order; wanted: sorted buckets, and the sieve that they pass."""
     parts = [np.zeros(0, np.int64)]
     for text, bucket in grams(texts):
         if wanted is not None:
-            hit = np.flatnonzero(wanted[bucket])
+            hit = np.flatnonzero(wanted[1][bucket & ((1 << SIEVE) - 1)])
+            found = bucket[hit]
+            if len(wanted[0]):
+                hit = hit[wanted[0][np.minimum(np.searchsorted(wanted[0], found), len(wanted[0]) - 1)] == found]
             text, bucket = text[hit], bucket[hit]
         parts.append((text.astype(np.int64) << BITS) | bucket)
     pairs = np.sort(np.concatenate(parts))
@@ -71,20 +75,48 @@ def distinct_grams(texts: list[str], wanted: np.ndarray | None = None) -> tuple[
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
 
 
+def sieve(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    passed = np.zeros(1 << SIEVE, bool)
+    passed[buckets & ((1 << SIEVE) - 1)] = True
+    return buckets, passed
+
+
+def unlike(rows: list[np.ndarray], hashes: int = 8, same: int = 3) -> list[int]:
+    """Rows that aren't much like an earlier one: by least hashes, of which `same` of 8 stand for copies."""
+    seen: list[dict[int, int]] = [{} for _ in range(hashes)]
+    kept = []
+    for i, r in enumerate(rows):
+        own = [int(mixed(r.astype(np.uint64) + np.uint64((k + 1) << 40)).min()) if len(r) else k for k in range(hashes)]
+        like: dict[int, int] = {}
+        for k, h in enumerate(own):
+            if h in seen[k]:
+                like[seen[k][h]] = like.get(seen[k][h], 0) + 1
+        if not len(r) or max(like.values(), default=0) < same:
+            kept.append(i)
+            for k, h in enumerate(own):
+                seen[k].setdefault(h, i)
+    return kept
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, sure: float = 4.0, penalty: float = 5e-4, steps: int = 600) -> Model:
-    """rows: distinct buckets of each text."""
+    """rows: distinct buckets of each text. Copies among them count once: their words are no signs of their class."""
+    kept = unlike(rows)
+    rows, toxic = [rows[i] for i in kept], toxic[kept]
     y = toxic.astype(float)
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    size = 1 << BITS
-    p = 1 + np.bincount(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if t]), minlength=size)
-    q = 1 + np.bincount(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if not t]), minlength=size)
+    known, which = np.unique(np.concatenate(rows), return_inverse=True)
+    of_toxic = np.repeat(toxic, [len(r) for r in rows])
+    p = 1 + np.bincount(which[of_toxic], minlength=len(known))
+    q = 1 + np.bincount(which[~of_toxic], minlength=len(known))
     ratio = np.log(p / (y.sum() + 2)) - np.log(q / (len(y) - y.sum() + 2))
     kept = np.flatnonzero((p + q >= 5) & (ratio > sure * np.sqrt(1 / p + 1 / q)))
     if not len(kept):
-        return Model(kept, np.zeros(0), float(np.log(y.mean() / (1 - y.mean()))))
-    column = np.full(size, -1, np.int32)
+        return Model(known[kept], np.zeros(0), float(np.log(y.mean() / (1 - y.mean()))))
+    column = np.full(len(known), -1, np.int32)
     column[kept] = np.arange(len(kept))
+    cut = np.cumsum([0, *map(len, rows)])
+    rows = [which[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
     own = [column[r][column[r] >= 0] for r in rows]
     row = np.repeat(np.arange(len(rows)), [len(x) for x in own])
     col = np.concatenate(own)
@@ -107,7 +139,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, sure: float = 4.0, penalty: f
         z, zb = new + (before - 1) / t * (new - w), nb + (before - 1) / t * (nb - b)
         w, b = new, nb
     used = np.flatnonzero(w)
-    return Model(kept[used], w[used] * r[used], float(b))
+    return Model(known[kept[used]], w[used] * r[used], float(b))
 
 
 def _fold(doc_id: Column) -> Column:
@@ -147,16 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4000) -> Model:
     return Model(np.frombuffer(m["buckets"], "<i8"), np.frombuffer(m["weights"], "<f8"), m["bias"])
 
 
-def _weights(model: Model) -> np.ndarray:
-    weights = np.zeros(1 << BITS)
-    weights[model.buckets] = model.weights
-    return weights
-
-
-def _scores(texts: pa.Array, model: Model, weights: np.ndarray) -> np.ndarray:
-    row, bucket = distinct_grams([t or "" for t in texts.to_pylist()], weights != 0)
-    s = model.bias + np.bincount(row, weights[bucket], len(texts))
-    return 1 / (1 + np.exp(-np.clip(s, -700, 700)))
+def _scores(texts: pa.Array, model: Model, wanted: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    row, bucket = distinct_grams([t or "" for t in texts.to_pylist()], wanted)
+    weights = model.weights[np.searchsorted(model.buckets, bucket)] if len(bucket) else np.zeros(0)
+    s = model.bias + np.bincount(row, weights, len(texts))
+    return np.exp(-np.logaddexp(0.0, -s))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -165,9 +192,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     schema = common.struct(SCORES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = _weights(shared.value)
+        wanted = sieve(shared.value.buckets)
         for b in common.slices(batches, 1 << 20):
-            s = _scores(b.column("text"), shared.value, weights)
+            s = _scores(b.column("text"), shared.value, wanted)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], schema=common.arrow_schema(schema))
 
     return docs.mapInArrow(common.tidied(run), schema)
@@ -181,9 +208,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, mo
     column = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = _weights(shared.value)
+        wanted = sieve(shared.value.buckets)
         for b in common.slices(batches, 1 << 20):
-            yield b.filter(pa.array(_scores(b.column(column), shared.value, weights) < threshold))
+            yield b.filter(pa.array(_scores(b.column(column), shared.value, wanted) < threshold))
 
     return docs.mapInArrow(common.tidied(run), docs.schema)
 

@@ -99,11 +99,21 @@ def test_toxicity_of_awkward_rows(spark):
 
 
 def test_clean_words_do_not_hide_toxic_ones():
-    rows_ = [np.array([1, 2]), np.array([2, 3])] * 50 + [np.array([2, 9]), np.array([4, 9])] * 50
-    m = toxicity.fit(rows_, np.array([False] * 100 + [True] * 100))
+    own = iter(range(1000, 100_000))
+    text = lambda *common: np.array(sorted([*common, *(next(own) for _ in range(30))]))
+    data = [text(1, 2) for _ in range(100)] + [text(2, 9) for _ in range(50)] + [text(4, 9) for _ in range(50)]
+    m = toxicity.fit(data, np.array([False] * 100 + [True] * 100))
     assert set(m.buckets.tolist()) >= {9} and (m.weights > 0).all()
 
 
+def test_copies_count_once():
+    r = np.random.default_rng(1)
+    base = r.integers(0, 1 << 32, 300)
+    copies = [np.unique(np.concatenate([base[:290], r.integers(0, 1 << 32, 10)])) for _ in range(20)]
+    others = [np.unique(r.integers(0, 1 << 32, 300)) for _ in range(20)]
+    assert toxicity.unlike([*copies, *others]) == [0, *range(20, 40)]
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
