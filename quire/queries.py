@@ -324,7 +324,7 @@ def glossary_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.glossary_freeze(*_terms(spark, sf_dir))
 
 
-@query("glossary_proposal")
+@query("glossary_proposal", f"WITH pp AS ({ORACLE['propernoun_policy']}), pe AS ({ORACLE['paren_evidence']}), fi AS (SELECT term AS en FROM pp WHERE policy <> 'kept') SELECT en, 'term' AS origin FROM fi UNION ALL SELECT term, 'brackets' FROM pe WHERE lower(term) NOT IN (SELECT lower(en) FROM fi)")
 def glossary_proposal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.glossary_proposal(propernoun_policy(spark, sf_dir), paren_evidence(spark, sf_dir))
 
