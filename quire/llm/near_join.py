@@ -176,7 +176,7 @@ def _settled(percent: int):
         block = int(known["block"])
         names = [b"" if x is None or len(x) == 8 * size else b"%d %d" % (block, i) for i, (x, size) in enumerate(zip(own, n.tolist(), strict=True))]
         keys = [None if x is None else hashlib.blake2b(np.sort(np.frombuffer(x, "<u8")).tobytes() + name, digest_size=16).digest() for x, name in zip(own, names, strict=True)]
-        return pd.DataFrame({"id": pd.array(ids, "Int64").take(np.arange(len(n))) if not null.any() else pd.array([None if z else i for i, z in zip(ids.tolist(), null.tolist(), strict=True)], "Int64"), "n": n, "key": keys, "shingles": own})
+        return pd.DataFrame({"id": pd.arrays.IntegerArray(ids.astype(np.int64), null.copy()), "n": n, "key": keys, "shingles": own})
 
     return run
 
