@@ -162,7 +162,7 @@ class Rule(NamedTuple):
 def _keyword(expression: str) -> bytes:
     """The longest run of plain words that every match holds, with its borders."""
     bare = re.sub(r"\((?:[^()]|\([^()]*\))*\)(?:\?|\{[^}]*\})?", "|", expression)
-    bare = re.sub(r"\S\?|\[[^\]]*\]\S*", "|", bare)
+    bare = re.sub(r"[^|]\?|\[[^\]]*\]\S*", "|", bare)
     runs = [r.strip() for r in re.split(r"[|\\(){}\[\]+*,]", bare)]
     return max(runs, key=len, default="").encode()
 

@@ -161,6 +161,47 @@ def test_license_rules():
         assert r.keyword == b"" or r.keyword in r.pattern.pattern
 
 
+def spelled(parsed):
+    """All strings that a rule's expression stands for; open repeats are taken at their least and once more."""
+    out = [""]
+    for op, x in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(x)]
+        elif op == "IN":
+            more = [chr(c) for o, a in x for c in ([a] if str(o) == "LITERAL" else [a[0]])]
+        elif op == "BRANCH":
+            more = [s for branch in x[1] for s in spelled(branch)]
+        elif op == "SUBPATTERN":
+            more = spelled(x[3])
+        elif op == "MAX_REPEAT":
+            more = [s * n for s in spelled(x[2]) for n in {x[0], min(x[0] + 1, x[1])}]
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT"), op
+            more = [""]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+@pytest.mark.parametrize("rule", licenses.rules(), ids=lambda r: r.name)
+def test_license_rule_fires(rule):
+    """Each spelling of each rule is found, by the rule or by one before it over the same words."""
+    own = 0
+    for text in set(spelled(re._parser.parse(rule.pattern.pattern.decode()))):
+        words, n = licenses.normalised(f"see {text} here".encode())
+        found = [r for r, a, b in licenses.detections(words) if a <= 1 and b >= n - 2]
+        assert found and found[0].priority >= rule.priority, text
+        own += rule in found
+    assert own
+
+
+@pytest.mark.parametrize("gap", ["", "-", " "])
+def test_license_split_names(spark, gap):
+    text = f"Creative Commons Attribution-Non{gap}Commercial-Share{gap}Alike 4.0 and Creative Commons Attribution-No{gap}Derivs 3.0"
+    r = licenses.license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r["labels"] == "cc-by-nc-sa-4.0,cc-by-nd-3.0"
+
+
 def brute_pipeline(docs, toxic):
     """The first three stages on plain rows, given which ids the classifier rejects."""
     left = sorted((d for d in docs if d["doc_id"] not in toxic), key=lambda d: d["doc_id"])
