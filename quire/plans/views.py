@@ -35,7 +35,7 @@ def frags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed(cut.where("text <> ''"))
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def paired(rows: DataFrame) -> DataFrame:
     """Source and target texts: even lines of a document with changed or repeated lines as targets."""
     ln, doc = F.col("ln"), F.col("doc")
     tgt = (
@@ -44,7 +44,17 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((doc + ln) % 5 == 0, F.concat(F.lit("未 "), F.col("text")))
         .otherwise(F.concat(F.lit("译 "), F.reverse(F.col("text"))))
     )
-    return frags(spark, sf_dir).select("doc", "page", "ln", "x0", "y0", "x1", "y1", F.col("text").alias("src"), tgt.alias("tgt"), F.when(ln % 2 == 0, "text").otherwise("l2").alias("layer"), ((doc + ln) % 13 == 0).alias("passthrough"))
+    return rows.select("doc", "page", "ln", "x0", "y0", "x1", "y1", F.col("text").alias("src"), tgt.alias("tgt"), F.when(ln % 2 == 0, "text").otherwise("l2").alias("layer"), ((doc + ln) % 13 == 0).alias("passthrough"))
+
+
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of cut blocks."""
+    return paired(frags(spark, sf_dir))
+
+
+def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of whole blocks."""
+    return paired(blocks(spark, sf_dir))
 
 
 def number_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

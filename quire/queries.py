@@ -14,7 +14,7 @@ from quire.functions import text as T
 from quire.operators import audit, fold, layout, quality, sampling, scope, snapshots, tracing, worklist
 from quire.operators.spatial import box_join, left_box, prefixed, right_box
 from quire.plans.groups import map_groups
-from quire.plans.views import Query, blocks, frags, lines, number_pairs, pairs, sql, table
+from quire.plans.views import Query, block_pairs, blocks, frags, lines, number_pairs, pairs, sql, table
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -136,12 +136,12 @@ def qc_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("qc_duplicate_readings")
 def qc_duplicate_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.conflicts(frags(spark, sf_dir))
+    return quality.conflicts(blocks(spark, sf_dir))
 
 
 @query("qc_best_reading")
 def qc_best_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frags(spark, sf_dir)
+    f = blocks(spark, sf_dir)
     return quality.best_reading(f, f.withColumn("text", F.translate("text", "oe", "0c")))
 
 
@@ -208,13 +208,13 @@ def plan_greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("plan_incremental_merge")
 def plan_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = frags(spark, sf_dir)
+    b = blocks(spark, sf_dir)
     return worklist.plan_increment(b.where("ln % 2 = 0"), b.where("ln % 2 = 1"))
 
 
 @query("plan_build")
 def plan_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frags(spark, sf_dir)
+    f = blocks(spark, sf_dir)
     given = f.select("text").distinct().withColumn("value", F.when(F.crc32("text") % 5 == 0, "=").otherwise(F.substring("text", 1, 9)))
     return worklist.translated_plan(f, given)
 
@@ -248,7 +248,7 @@ def repeat_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("repeat_variants")
 def repeat_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.repeat_variants(pairs(spark, sf_dir)).select("key", "n", F.array_join("variants", " / ").alias("variants"))
+    return audit.repeat_variants(block_pairs(spark, sf_dir)).select("key", "n", F.array_join("variants", " / ").alias("variants"))
 
 
 _NOUNS = r"list_distinct(list_concat(list_filter(regexp_extract_all(src, '\b[A-Z][A-Z0-9]{1,5}\b'), lambda t: length(t) >= 4 AND NOT list_contains(" + _list(STOP_CAPS) + r", t)), list_filter(regexp_extract_all(src, '\b[A-Z]{1,4}-?\d{1,4}[A-Za-z]{0,3}\b'), lambda t: NOT regexp_full_match(t, '[A-Z]\d')), regexp_extract_all(src, '\b[a-z0-9][a-z0-9.\-]*\.(?:com|org|net|ai|io|gov|edu)\b'), regexp_extract_all(src, '\b[A-Z][A-Za-z.&]*(?:\s+[A-Z][A-Za-z.&]*){0,3}\s+(?:Inc|Corp|Corporation|Ltd|LLC|Co|Group|Capital|Partners|Technologies|Research)\b')))"
@@ -415,7 +415,7 @@ def residue_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("residue_dedup")
 def residue_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fold.dedup_contained(frags(spark, sf_dir)).select("page", "ln")
+    return fold.dedup_contained(blocks(spark, sf_dir)).select("page", "ln")
 
 
 def _content(column: str, stop: tuple[str, ...], least: int) -> str:
@@ -475,7 +475,7 @@ def align_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines in two columns, in two fonts."""
     ln, doc = F.col("ln"), F.col("doc")
-    rows = lines(spark, sf_dir).withColumn("text", F.expr("substring(text, 1, 40)"))
+    rows = lines(spark, sf_dir)
     column = ln % 2
     x0 = (column * 300 + F.when((doc + ln) % 9 == 0, 12).otherwise(0)).cast("double")
     y0 = (F.expr("ln div 2") * 14).cast("double")
@@ -512,7 +512,7 @@ def baseline_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fitting_size")
 def fitting_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = frags(spark, sf_dir)
+    f = blocks(spark, sf_dir)
     w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     return f.select("page", "ln", F.round(kernels.fit_size("text", w, h, 0.78 * h, 1.15 * h), 4).alias("size"))
 
@@ -541,7 +541,7 @@ def visual_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rect_iou_match")
 def rect_iou_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = frags(spark, sf_dir)
+    b = blocks(spark, sf_dir)
     sides = b.select("page", "x0", "y0", "x1", "y1", F.lit("a").alias("side")).unionByName(b.select("page", F.col("x0") + 1, "y0", F.col("x1") + 1, "y1", F.lit("b").alias("side")).toDF("page", "x0", "y0", "x1", "y1", "side"))
     return map_groups(sides, ["page"], ["side"], kernels.matched_rects, "page long, n long, iou double")
 
