@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,12 +54,29 @@ def strata(features: DataFrame) -> DataFrame:
     return f.select("page", stratum.alias("stratum"))
 
 
-def risk(features: DataFrame) -> DataFrame:
-    """page and risk: weighted shares of the maxima of digits, negations, blocks of the second layer and small ones."""
+def ratio_anomalies(pairs: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """By page: pairs (page, src, tgt, status) with texts long enough whose ratio of lengths lies outside two quantiles of all."""
+    n, m = F.length("src"), F.length("tgt")
+    rows = pairs.where(F.col("status").isin("translated", "same") & (n >= 20) & (m >= 8)).select("page", (m / n).alias("ratio"))
+    rows = cut(rows)
+    bounds = quantile(rows, "ratio", low, "lo").crossJoin(quantile(rows, "ratio", high, "hi"))
+    return rows.crossJoin(F.broadcast(bounds)).where("ratio < lo OR ratio > hi").groupBy("page").agg(F.count(F.lit(1)).alias("anomalies"))
+
+
+def risk(features: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
+    """page and risk: weighted shares of the maxima of digits, negations, ratio anomalies, blocks of the second layer and small ones.
+
+    anomalies: (page, anomalies) by ratio_anomalies; without it, that part is left out.
+    """
+    weights = {"digits": 1.0, "negations": 2.0, "anomalies": 2.0, "l2": 0.5, "small": 0.5}
+    if anomalies is None:
+        del weights["anomalies"]
+    else:
+        features = features.join(anomalies, "page", "left").withColumn("anomalies", F.coalesce("anomalies", F.lit(0)))
     f = cut(features)
-    most = f.agg(*[F.greatest(F.max(c), F.lit(1)).alias(f"m_{c}") for c in ("digits", "negations", "l2", "small")])
-    part = lambda c, w: w * F.col(c) / F.col(f"m_{c}")
-    return f.crossJoin(F.broadcast(most)).select("page", F.bround(part("digits", 1.0) + part("negations", 2.0) + part("l2", 0.5) + part("small", 0.5), 4).alias("risk"))
+    most = f.agg(*[F.greatest(F.max(c), F.lit(1)).alias(f"m_{c}") for c in weights])
+    total = reduce(lambda a, b: a + b, [w * F.col(c) / F.col(f"m_{c}") for c, w in weights.items()])
+    return f.crossJoin(F.broadcast(most)).select("page", F.bround(total, 4).alias("risk"))
 
 
 def _hashed(seed: int, *columns: str) -> Column:

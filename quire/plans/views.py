@@ -81,11 +81,14 @@ SQL = {
     "pairs": """pairs AS (SELECT doc, page, ln, x0, y0, x1, y1, text AS src,
   CASE WHEN (doc + ln) % 11 = 0 THEN '' WHEN (doc + ln) % 7 = 0 THEN text WHEN (doc + ln) % 5 = 0 THEN '未 ' || text ELSE '译 ' || reverse(text) END AS tgt,
   CASE WHEN ln % 2 = 0 THEN 'text' ELSE 'l2' END AS layer, (doc + ln) % 13 = 0 AS passthrough FROM frags)""",
+    "block_pairs": """block_pairs AS (SELECT doc, page, ln, x0, y0, x1, y1, text AS src,
+  CASE WHEN (doc + ln) % 11 = 0 THEN '' WHEN (doc + ln) % 7 = 0 THEN text WHEN (doc + ln) % 5 = 0 THEN '未 ' || text ELSE '译 ' || reverse(text) END AS tgt,
+  CASE WHEN ln % 2 = 0 THEN 'text' ELSE 'l2' END AS layer, (doc + ln) % 13 = 0 AS passthrough FROM blocks)""",
     "number_pairs": """number_pairs AS (SELECT o_orderkey AS id, src, CASE WHEN o_orderkey % 7 = 0 THEN 'Order ' || (o_orderkey + 1) || ' total $' || money
   WHEN o_orderkey % 11 = 0 THEN 'Order total $' || money ELSE src END AS tgt
   FROM (SELECT o_orderkey, money, 'Order ' || o_orderkey || ' total $' || money AS src FROM (SELECT o_orderkey, printf('%.2f', o_totalprice) AS money FROM orders)))""",
 }
-NEEDS = {"lines": (), "blocks": ("lines",), "frags": ("lines",), "pairs": ("lines", "frags"), "number_pairs": ()}
+NEEDS = {"lines": (), "blocks": ("lines",), "frags": ("lines",), "pairs": ("lines", "frags"), "block_pairs": ("lines", "blocks"), "number_pairs": ()}
 
 
 def sql(view: str, body: str) -> str:

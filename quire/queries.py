@@ -372,6 +372,21 @@ def forced_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.forced(risk_score(spark, sf_dir), stratified_sample(spark, sf_dir))
 
 
+_BLOCK_STATUS = _STATUS.replace("FROM pairs", "FROM block_pairs")
+_RATIO_RISK = _BLOCK_STATUS + _FEATURES + ", q AS (SELECT page, length(tgt)::DOUBLE / length(src) AS ratio FROM st WHERE status IN ('translated', 'same') AND length(src) >= 20 AND length(tgt) >= 8), qs AS (SELECT list_sort(list(ratio)) AS l, count(*) AS n FROM q), an AS (SELECT page, count(*) AS anomalies FROM q, qs WHERE ratio < l[least(n - 1, floor(n * 0.05::DOUBLE))::BIGINT + 1] OR ratio > l[least(n - 1, floor(n * 0.95::DOUBLE))::BIGINT + 1] GROUP BY page), fa AS (SELECT f.*, coalesce(anomalies, 0) AS anomalies FROM f LEFT JOIN an ON f.page = an.page)" + _RISK.removeprefix(_FEATURES).replace("FROM f", "FROM fa").replace(" + 0.5::DOUBLE * l2", " + 2.0::DOUBLE * anomalies / greatest((SELECT max(anomalies) FROM fa), 1) + 0.5::DOUBLE * l2")
+
+
+@query("risk_score_ratios", sql("block_pairs", _RATIO_RISK + " SELECT * FROM k"))
+def risk_score_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk of pages with all five parts."""
+    return sampling.risk(page_features(spark, sf_dir), sampling.ratio_anomalies(audit.with_status(block_pairs(spark, sf_dir))))
+
+
+@query("forced_pool_ratios", sql("block_pairs", _RATIO_RISK + _STRATA.removeprefix(_FEATURES) + _DRAWN + " SELECT page, risk FROM k WHERE page NOT IN (SELECT page FROM d) ORDER BY risk DESC, page LIMIT (SELECT ceil(count(*) * 0.2::DOUBLE)::BIGINT FROM f)"))
+def forced_pool_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.forced(risk_score_ratios(spark, sf_dir), stratified_sample(spark, sf_dir))
+
+
 @query("equidistant_sample", sql("frags", ", p AS (SELECT page, round_even(avg(conf::DECIMAL(10, 4)), 6) AS conf FROM frags GROUP BY page), o AS (SELECT *, row_number() OVER (ORDER BY conf, page) AS r, greatest(1, count(*) OVER () // 8) AS step FROM p) SELECT page, conf FROM o WHERE (r - 1) % step = 0 AND (r - 1) // step < 8"))
 def equidistant_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = frags(spark, sf_dir).groupBy("page").agg(F.bround(F.avg(F.col("conf").cast("decimal(10,4)")).cast("double"), 6).alias("conf"))

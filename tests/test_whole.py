@@ -5,6 +5,7 @@ import hashlib
 import pytest
 
 import __spark_entry__ as entry
+from quire.operators import sampling
 
 QUERIES = entry.queries()
 HEAD = "The quick brown model reads one more line of the page and goes on for long enough to pass any cut of it"
@@ -37,3 +38,15 @@ def test_ends_of_lines_count(spark, folders, name):
 def test_units_hold_whole_lines(spark, folders):
     found = " ".join(r["text"] for r in QUERIES["units_extract"](spark, folders[1]).where("page = 1").collect())
     assert all(f"{HEAD} {tail(k)}" in found for k in range(40))
+
+
+def test_risk_counts_ratio_anomalies(spark):
+    """Pages 1 and 2 have a target cut short and one blown up; the other parts are the same on all pages."""
+    rows = [(p, "s" * 40, "t" * (9 if p == 1 else 200 if p == 2 else 40), "translated") for p in range(1, 41)]
+    rows += [(3, "s" * 19, "t" * 400, "translated"), (3, "s" * 40, "t" * 400, "kept")]
+    found = sampling.ratio_anomalies(spark.createDataFrame(rows, "page long, src string, tgt string, status string"), 0.05, 0.95)
+    # sorted[int(40 * 0.05)] is the third smallest ratio, sorted[int(40 * 0.95)] the second largest
+    assert {r["page"]: r["anomalies"] for r in found.collect()} == {1: 1, 2: 1}
+    pages = spark.createDataFrame([(p, 10, 1, 1, 5.0, 1, 0) for p in range(1, 41)], "page long, chars long, l2 long, small long, title double, digits long, negations long")
+    risks = {r["page"]: r["risk"] for r in sampling.risk(pages, found).collect()}
+    assert risks == {p: 4.0 if p in (1, 2) else 2.0 for p in range(1, 41)}
