@@ -425,7 +425,19 @@ WHEN length(norm) >= 6 AND EXISTS (SELECT 1 FROM sc WHERE sc.page = e.page AND s
 def residue_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = frags(spark, sf_dir)
     layer = f.where("ln % 4 = 1").select("page", F.explode(T.words(F.lower("text"))).alias("word"))
-    return tracing.residue(f.where("ln % 2 = 0"), f.where("doc % 10 = 0"), layer, f.where("ln % 4 = 3"), f.where("ln % 6 = 0"))
+    return tracing.residue(f.where("ln % 2 = 0"), f.where("doc % 10 = 0"), layer, f.where("ln % 4 = 3"), f.where("ln % 6 = 0"), equal_only=True)
+
+
+_CONTAINED = ORACLE["residue_classes"].replace("FROM frags", "FROM blocks").replace("bool_and(", "bool_or(").replace("WHEN length(norm) >= 6 AND EXISTS (SELECT 1 FROM sc WHERE sc.page = e.page AND sc.norm = e.norm)", "WHEN EXISTS (SELECT 1 FROM sc WHERE sc.page = e.page AND length(sc.norm) >= 6 AND (contains(sc.norm, e.norm) OR contains(e.norm, sc.norm)))")
+_CONTAINED = sql("blocks", _CONTAINED.removeprefix(sql("frags", ", ").rstrip(", ")))
+
+
+@query("residue_classes_contained", _CONTAINED)
+def residue_classes_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residue in whole lines; any known word makes the text layer, and source and product may contain each other."""
+    b = blocks(spark, sf_dir)
+    layer = b.where("ln % 4 = 1").select("page", F.explode(T.words(F.lower("text"))).alias("word"))
+    return tracing.residue(b.where("ln % 2 = 0"), b.where("doc % 10 = 0"), layer, b.where("ln % 4 = 3"), b.where("ln % 6 = 0"))
 
 
 @query("residue_dedup")

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 
 import __spark_entry__ as entry
-from quire.operators import sampling
+from quire.operators import sampling, tracing
 
 QUERIES = entry.queries()
 HEAD = "The quick brown model reads one more line of the page and goes on for long enough to pass any cut of it"
@@ -50,3 +50,12 @@ def test_risk_counts_ratio_anomalies(spark):
     pages = spark.createDataFrame([(p, 10, 1, 1, 5.0, 1, 0) for p in range(1, 41)], "page long, chars long, l2 long, small long, title double, digits long, negations long")
     risks = {r["page"]: r["risk"] for r in sampling.risk(pages, found).collect()}
     assert risks == {p: 4.0 if p in (1, 2) else 2.0 for p in range(1, 41)}
+
+
+def test_residue_contains_or_is_contained(spark):
+    texts = {1: "northern harbour", 2: "the northern harbour office", 3: "harb", 4: "quite another thing", 5: "known unknown"}
+    product = spark.createDataFrame([(1, k, t, 0.9, 0.0, 20.0 * k, 9.0, 20.0 * k + 9) for k, t in texts.items()], "page long, ln long, text string, conf double, x0 double, y0 double, x1 double, y1 double")
+    source = spark.createDataFrame([(1, "Northern Harbour"), (1, "thin"), (2, "quite another thing")], "page long, text string")
+    words = spark.createDataFrame([(1, "known"), (2, "quite")], "page long, word string")
+    found = tracing.residue(product, product.where("false"), words, product.where("false"), source)
+    assert {r["ln"]: r["cls"] for r in found.collect()} == {1: "filtered", 2: "filtered", 3: "filtered", 4: "unseen", 5: "textlayer"}
