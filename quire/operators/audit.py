@@ -103,9 +103,16 @@ def outside_spans(glyphs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def _occurrences(pairs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Pairs joined with terms of one word that stand in their source as a word: by word, not by testing all terms."""
-    found = pairs.select("id", "src", "tgt", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("src"), F.lit("[a-z0-9_]+"), F.lit(0)))).alias("w"))
-    return found.join(terms.withColumn("w", F.lower("en")), "w")
+    """Pairs joined with terms that stand in their source between word borders, in any case.
+
+    They meet by the first word of the term, not by testing all terms on all texts; terms of more than that word are then
+    looked for whole. Terms without letters, digits or underscores meet no pair.
+    """
+    word, fixed = r"[\p{L}\p{M}\p{N}_]+", F.replace("en", F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    found = pairs.select("id", "src", "tgt", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("src"), F.lit(word), F.lit(0)))).alias("w"))
+    keyed = terms.withColumn("w", F.regexp_extract(F.lower("en"), word, 0)).where("w <> ''")
+    whole = keyed.withColumn("phrase", F.concat(F.lit(r"(?iuU)\b\Q"), fixed, F.lit(r"\E\b")))
+    return found.join(whole, "w").where((F.col("w") == F.lower("en")) | F.rlike("src", F.col("phrase"))).drop("phrase")
 
 
 def glossary_violations(pairs: DataFrame, terms: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 
 import __spark_entry__ as entry
-from quire.operators import sampling, tracing
+from quire.operators import audit, sampling, tracing
 
 QUERIES = entry.queries()
 HEAD = "The quick brown model reads one more line of the page and goes on for long enough to pass any cut of it"
@@ -59,3 +59,18 @@ def test_residue_contains_or_is_contained(spark):
     words = spark.createDataFrame([(1, "known"), (2, "quite")], "page long, word string")
     found = tracing.residue(product, product.where("false"), words, product.where("false"), source)
     assert {r["ln"]: r["cls"] for r in found.collect()} == {1: "filtered", 2: "filtered", 3: "filtered", 4: "unseen", 5: "textlayer"}
+
+
+def test_glossary_terms_of_many_words(spark):
+    pairs = spark.createDataFrame([
+        (1, "The Northern Harbour Group and its model", "译名 模型"),
+        (2, "the northern harbour group", "北港集团"),
+        (3, "the northern harbour groups, north", "其他"),
+        (4, "AT&T and U.S.A with state-of-the-art", "其他"),
+        (5, "état-major et c++ \\E end", "其他"),
+    ], "id long, src string, tgt string")
+    terms = spark.createDataFrame([("Northern Harbour Group", "北港集团"), ("AT&T", "甲"), ("state-of-the-art", "乙"), ("U.S.A", "丙"), ("model", "模型"), ("tat", "丁"), ("état-major", "戊"), ("art AT", "己")], "en string, zh string")
+    found = {r["en"]: (r["n"], r["n_violations"]) for r in audit.glossary_violations(pairs, terms).collect()}
+    assert found == {"Northern Harbour Group": (2, 1), "AT&T": (1, 1), "state-of-the-art": (1, 1), "U.S.A": (1, 1), "model": (1, 0), "état-major": (1, 1)}
+    frozen = {r["en"]: (r["n_targets"], r["keep"], r["needs_ruling"]) for r in audit.glossary_freeze(pairs, terms).collect()}
+    assert frozen["Northern Harbour Group"] == (2, False, True) and set(frozen) == set(found)
