@@ -6,18 +6,22 @@ documents there are. It works in the steps of the linear grouping scheme:
 1. lengths over capacity / 8 are sorted and cut into groups of equal cardinality, each rounded up to its largest;
 2. the packing of the few rounded sizes is optimised over configurations (a linear program by column generation,
    whose solution is rounded down);
-3. real lengths, which are no longer than the rounded ones, take the places of each group;
+3. real lengths, which are no longer than the rounded ones, take the places of each configuration, those with the
+   largest sizes first, and go on into the room that rounding up left over;
 4. what rounding down left over, then all small lengths from long to short, go to the sequence with the least room
    that still holds them, and to new sequences where none does.
 
+Steps 3 and 4 are run for each of LOOSE: substituted sequences with more room than that share of capacity are given up
+to step 4. The plan with the fewest sequences is the result.
+
 A plan is a list of runs: of the pieces of a length, those of rank r .. r + n - 1 go to sequences s .. s + n - 1 at one
 offset. Sequences of the same contents stay together as one run in all steps, so a plan's size depends on capacity and
 the number of groups, not on the number of documents. Ranks come from counts per task and length, so no task sees
 all pieces of a common length.
 
 Cases: a null text counts as empty and packs as its end id alone; a null id stays null; repeated rows are packed as
-often as they occur; an empty table gives an empty result; texts beyond capacity are cut into full pieces and a rest;
-columns beside id and text are ignored, whatever their names.
+often as they occur; an empty table gives an empty result; texts of any length are encoded whole and those beyond
+capacity cut into full pieces and a rest; columns beside id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from pyspark.sql import functions as F
 from quire.llm import common
 from quire.llm.tokenizing import WordIds, load
 
+#: Shares of capacity that a substituted sequence may leave empty.
+LOOSE = (1.0, 1 / 64, 0.0)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 RESULT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -69,13 +75,16 @@ def _best_configuration(sizes: np.ndarray, worth: np.ndarray, most: np.ndarray,
     return top, out
 
 
-def configurations(sizes: np.ndarray, needed: np.ndarray, capacity: int, rounds: int = 400, slack: float = 1e-3) -> list[tuple[float, np.ndarray]]:
-    """How often to use which configuration to hold `needed` items of each size in, within 1 + slack, the fewest sequences."""
+def configurations(sizes: np.ndarray, needed: np.ndarray, capacity: int, slack: float = 1e-3) -> list[tuple[float, np.ndarray]]:
+    """How often to use which configuration to hold `needed` items of each size in, within 1 + slack, the fewest sequences.
+
+    Columns are generated until none improves the solution; without an end to that, an error is raised.
+    """
     k = len(sizes)
     most = np.minimum(needed, capacity // sizes)
     basis = np.diag(most.astype(float))
     cost = np.ones(k)
-    for _ in range(rounds):
+    for _ in range(1000 * k):
         inverse = np.linalg.inv(basis)
         dual = cost @ inverse
         worst = int(np.argmin(dual))
@@ -91,8 +100,10 @@ def configurations(sizes: np.ndarray, needed: np.ndarray, capacity: int, rounds:
         ratio = np.where(step > 1e-9, np.maximum(now, 0) / np.where(step > 1e-9, step, 1), np.inf)
         out = int(np.argmin(ratio))
         if not np.isfinite(ratio[out]):
-            break
+            raise RuntimeError("the linear program of the configurations has no bound")
         basis[:, out], cost[out] = column, price
+    else:
+        raise RuntimeError("the column generation doesn't end")
     times = np.linalg.solve(basis, needed.astype(float))
     return [(float(t), basis[:, i].round().astype(np.int64)) for i, t in enumerate(times) if cost[i] and t > 1e-9]
 
@@ -153,50 +164,74 @@ class _Plan:
 
 def plan(counts: np.ndarray, capacity: int, groups: int = 64) -> tuple[int, list[Run]]:
     """counts[l]: pieces of length l, 1 to capacity. Gives the number of sequences and all runs."""
-    p = _Plan(counts.astype(np.int64), capacity)
-    if n := p.left(capacity):
-        p.place(capacity, n, p.open(n), 0)
     lengths = np.arange(capacity - 1, capacity // 8, -1)
-    number = p.counts[lengths]
-    total = int(number.sum())
-    if total:
-        edges = np.unique(np.linspace(0, total, min(groups, total) + 1).astype(np.int64))
-        ends = np.cumsum(number)
-        # One entry for each group: its largest length, by which all its pieces are planned.
-        rounded, needed = [], []
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            largest = int(lengths[np.searchsorted(ends, a, "right")])
-            if rounded and rounded[-1] == largest:
-                needed[-1] += int(b - a)
-            else:
-                rounded.append(largest)
-                needed.append(int(b - a))
-        sizes = np.array(rounded, np.int64)
+    number = counts[lengths]
+    solved = _grouped(lengths, number, capacity, groups)
+    best = None
+    for loose in LOOSE:
+        p = _Plan(counts.astype(np.int64), capacity)
+        if n := p.left(capacity):
+            p.place(capacity, n, p.open(n), 0)
         waiting = sorted(int(x) for x in lengths[number > 0])
-        for times, configuration in configurations(sizes, np.array(needed, np.int64), capacity):
-            _substitute(p, waiting, [int(s) for s, n in zip(sizes, configuration, strict=True) for _ in range(n)], int(times + 1e-6))
-    for length in range(capacity, 0, -1):
-        if p.left(length):
-            p.best_fit(length)
-    return p.sequences, p.runs
+        for times, places in solved:
+            _substitute(p, waiting, places, times, int(loose * capacity))
+        for length in range(capacity, 0, -1):
+            if p.left(length):
+                p.best_fit(length)
+        if best is None or p.sequences < best.sequences:
+            best = p
+        if not solved:
+            break
+    return best.sequences, best.runs
 
 
-def _substitute(p: _Plan, waiting: list[int], places: list[int], times: int) -> None:
+def _grouped(lengths: np.ndarray, number: np.ndarray, capacity: int, groups: int) -> list[tuple[int, list[int]]]:
+    """Whole numbers of configurations of rounded sizes, for lengths (falling) of which there are `number`."""
+    total = int(number.sum())
+    if not total:
+        return []
+    edges = np.unique(np.linspace(0, total, min(groups, total) + 1).astype(np.int64))
+    ends = np.cumsum(number)
+    # One entry for each group: its largest length, by which all its pieces are planned.
+    rounded, needed = [], []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        largest = int(lengths[np.searchsorted(ends, a, "right")])
+        if rounded and rounded[-1] == largest:
+            needed[-1] += int(b - a)
+        else:
+            rounded.append(largest)
+            needed.append(int(b - a))
+    sizes = np.array(rounded, np.int64)
+    found = configurations(sizes, np.array(needed, np.int64), capacity)
+    out = [(int(times + 1e-6), [int(s) for s, n in zip(sizes, c, strict=True) for _ in range(n)]) for times, c in found]
+    return sorted((x for x in out if x[1]), key=lambda x: -x[1][0])
+
+
+def _substitute(p: _Plan, waiting: list[int], places: list[int], times: int, loose: int) -> None:
     """Fill sequences of one configuration: each place, largest first, takes the longest waiting length that leaves
-    the places after it their rounded sizes. Where nothing fits a place, the rest is left to best fit."""
+    the places after it their rounded sizes; then the longest that fit go on into the rest. Where nothing fits a place,
+    or more than `loose` would stay empty, the rest is left to best fit."""
+
+    def longest(room: int) -> int | None:
+        i = bisect.bisect_right(waiting, room) - 1
+        while i >= 0 and chosen.count(waiting[i]) >= p.left(waiting[i]):
+            i -= 1
+        return waiting[i] if i >= 0 else None
+
     while times:
         chosen: list[int] = []
         room, reserved = p.capacity, sum(places)
         for size in places:
             reserved -= size
-            i = bisect.bisect_right(waiting, room - reserved) - 1
-            while i >= 0 and chosen.count(waiting[i]) >= p.left(waiting[i]):
-                i -= 1
-            if i < 0:
+            length = longest(room - reserved)
+            if length is None:
                 return
-            chosen.append(waiting[i])
-            room -= waiting[i]
-        if not chosen:
+            chosen.append(length)
+            room -= length
+        while (length := longest(room)) is not None:
+            chosen.append(length)
+            room -= length
+        if room > loose:
             return
         count = min(times, *(p.left(x) // chosen.count(x) for x in chosen))
         sequence, used = p.open(count), 0
