@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -156,9 +157,10 @@ def test_license_labels(spark, text, labels):
 
 def test_license_rules():
     rules = licenses.rules()
-    assert len(rules) > 250 and [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
-    for r in rules:
-        assert r.keyword == b"" or r.keyword in r.pattern.pattern
+    assert len(rules) > 450 and [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
+    assert len({r.name for r in rules}) == len(rules) and all(min(map(len, r.keywords)) >= 3 for r in rules)
+    own = [r for r in rules if not r.name.startswith("spdx:") and re.search(r"[(\[?]", r.pattern.pattern.decode().removesuffix("(?= )").replace("(?:www )?", "").replace("https?", ""))]
+    assert len(own) > 200
 
 
 def spelled(parsed):
@@ -195,6 +197,47 @@ def test_license_rule_fires(rule):
     assert own
 
 
+def covered(found):
+    """Detections in order of priority, length, place and rule that lie within none accepted before, pair by pair."""
+    out = []
+    for r, a, b in sorted(found, key=lambda x: (-x[0].priority, -(x[2] - x[1]), x[1], x[0].name)):
+        if not any(c <= a and b <= d for _, c, d in out):
+            out.append((r, a, b))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_license_containment(seed):
+    r = random.Random(seed)
+    found = []
+    for _ in range(r.randint(1, 120)):
+        a = r.randint(0, 60)
+        found.append((r.choice(licenses.rules()[::17]), a, a + r.randint(1, 30)))
+    assert set(licenses.outermost(found)) == set(covered(found))
+
+
+def test_licenses_of_a_long_text():
+    """A megabyte of clauses: whole, and in time that grows with the length alone."""
+    clauses = " ".join(["This program is free software: you can redistribute it and/or modify it", "All rights reserved.", "SPDX-License-Identifier: GPL-2.0-only", "CC BY-SA 4.0", "see the GNU Lesser General Public License version 2.1 or words between"])
+    seconds = []
+    for times in (500, 5000):
+        words, n = licenses.normalised((clauses + "\n").encode() * times)
+        began = time.process_time()
+        found = licenses.detections(words)
+        seconds.append(time.process_time() - began)
+        each = n // times
+        at = Counter((r.label, a % each) for r, a, _ in found)
+        assert set(at.values()) == {times} and {label for label, _ in at} >= {"gpl", "proprietary", "gpl-2.0", "cc-by-sa-4.0", "lgpl-2.1"}
+    assert len(clauses) * 5000 > 1_000_000 and seconds[1] < 30 * max(seconds[0], 0.05)
+
+
+def test_license_detections(spark):
+    docs = spark.createDataFrame([(1, "x (c) MIT License, GNU LESSER General Public License v2.1"), (2, None), (None, "All rights\nreserved"), (3, "")], "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["label"], r["first_word"], r["last_word"]) for r in licenses.license_detections(docs).collect())
+    assert got == [("1", "lgpl-2.1", 4, 10), ("1", "mit", 2, 3), ("None", "proprietary", 0, 2)]
+    assert licenses.license_detections(empty(spark)).count() == 0
+
+
 @pytest.mark.parametrize("gap", ["", "-", " "])
 def test_license_split_names(spark, gap):
     text = f"Creative Commons Attribution-Non{gap}Commercial-Share{gap}Alike 4.0 and Creative Commons Attribution-No{gap}Derivs 3.0"
