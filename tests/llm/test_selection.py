@@ -103,10 +103,64 @@ def test_clean_words_do_not_hide_toxic_ones():
     own = iter(range(1000, 100_000))
     text = lambda *common: np.array(sorted([*common, *(next(own) for _ in range(30))]))
     data = [text(1, 2) for _ in range(100)] + [text(2, 9) for _ in range(50)] + [text(4, 9) for _ in range(50)]
-    m = toxicity.fit(data, np.array([False] * 100 + [True] * 100))
+    m = toxicity.fit([(d, np.ones(len(d), int)) for d in data], np.array([False] * 100 + [True] * 100))
     assert set(m.buckets.tolist()) >= {9} and (m.weights > 0).all()
 
 
+def plain_scores(texts, model):
+    """Scores by dictionaries of n-grams, hashed one by one."""
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
+    top, step, spread = 1 << 64, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+    out = []
+    for t in texts:
+        chars, found = [32 if c in "\t\n\v\f\r\xa0" else ord(c) for c in f" {t.lower()} "], Counter()
+        for n in toxicity.ORDERS:
+            for i in range(len(chars) - n + 1):
+                h = 0
+                for c in chars[i : i + n]:
+                    h = (h * step + c) % top
+                h = (h + n) * spread % top
+                found[(h ^ h >> 32) * step % top >> 32] += 1
+        s = model.bias + sum(weight[b] * (1 + np.log(k)) for b, k in found.items() if b in weight)
+        out.append(1 / (1 + np.exp(-s)))
+    return out
+
+
+def labelled(sf):
+    """(texts, toxic, held out) of the labelled documents."""
+    import pyarrow.parquet as pq
+
+    known = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"/root/testdata/{sf}/labels.parquet").to_pylist()}
+    docs = [r for r in pq.read_table(f"/root/testdata/{sf}/documents.parquet").to_pylist() if r["doc_id"] in known]
+    return docs, np.array([known[r["doc_id"]] > 0 for r in docs]), np.array([zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in docs])
+
+
+@pytest.mark.parametrize(("sf", "recall", "false_alarms"), [("sf0.01", 0.75, 0.02), ("sf0.1", 0.9, 0.01)])
+def test_toxicity_of_held_out_documents(spark, sf, recall, false_alarms):
+    """At 0.01, 33 toxic texts are learned from. At 0.1, 10 of the 144 held-out ones share no n-gram with other toxic ones."""
+    from quire.llm.queries import op2_toxicity
+
+    docs, toxic, held = labelled(sf)
+    got = {r["doc_id"]: r for r in op2_toxicity(spark, f"/root/testdata/{sf}").collect()}
+    found = np.array([got[d["doc_id"]]["predicted"] == 1 for d in docs])
+    assert found[toxic & held].mean() >= recall and found[~toxic & held].mean() <= false_alarms
+    if sf == "sf0.01":
+        rows = spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "id long, text string")
+        labels = spark.createDataFrame([(d["doc_id"], int(t)) for d, t, h in zip(docs, toxic, held, strict=True) if not h], "doc_id long, toxic int")
+        model = toxicity.train(rows, labels)
+        some = docs[:40]
+        assert plain_scores([d["text"] for d in some], model) == pytest.approx([got[d["doc_id"]]["score"] for d in some], rel=1e-9)
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * (5000 if i % 10 else 400_000)) for i in range(200)], "id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    got = toxicity.sample_of(docs, labels, 4000, 320_000).collect()
+    assert max(len(r["text"]) for r in got) == 5000
+    for t in (0, 1):
+        assert 150_000 <= sum(len(r["text"]) for r in got if r["toxic"] == t) <= 160_000
+
+
 def test_copies_count_once():
     r = np.random.default_rng(1)
     base = r.integers(0, 1 << 32, 300)
