@@ -14,28 +14,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows in an Arrow batch on its way to Python: with 512, a batch of 100 kB texts takes 50 MB.
-BATCH_ROWS = 512
+#: Bounds of an Arrow batch on its way to Python; one row may be larger.
+BATCH_ROWS, BATCH_BYTES = 512, 32 << 20
 
 
 def session(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size if it is larger, as batches are bounded by rows, not bytes."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS, most_bytes: int = BATCH_BYTES) -> None:
+    """Lower the session's bounds on Arrow batches, in rows and bytes, where they are larger.
+
+    The setting stays: plans read it when they run, which is after the call that made them.
+    """
+    for key, bound in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", most_bytes)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(spark.conf.get(key).rstrip("bB"))
+        if not 0 < now <= bound:
+            spark.conf.set(key, str(bound))
+
+
+#: Folders made by this process, in order, until forgotten() removes them.
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under spark.checkpoint.dir; only where that is unset, under a folder of our own."""
+    """A new folder name under spark.checkpoint.dir; where that is unset, under a folder of our own on a local master.
+
+    On a cluster, executors and driver share no folder but the one that is set, so an unset one is an error there.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def mark() -> int:
+    """Stands for all folders made so far."""
+    return len(_made)
+
+
+def forgotten(spark: SparkSession, since: int, keep: DataFrame | None = None) -> None:
+    """Remove the folders made after a mark but those that `keep` reads: for when nothing else reads them any more."""
+    used = [f.rsplit("/", 1)[0] for f in keep.inputFiles()] if keep is not None else []
+    used = [u.split(":", 1)[-1].lstrip("/") for u in used]
+    jvm = spark.sparkContext._jvm
+    left = []
+    for folder in _made[since:]:
+        if folder.split(":", 1)[-1].lstrip("/") in used:
+            left.append(folder)
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _made[since:] = left
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,9 @@ emitted once for every integer boundary that its step crosses. As neighbours are
 near the target.
 
 A source may hold any share of the rows: ranks come from a range partitioning by (source, size, id), ranks within a
-partition and a table of counts per partition and source, so no task sees a whole source.
+partition and a table of counts per partition and source, so no task sees a whole source. Words are counted in one pass
+that writes three columns; everything after reads those. Targets take one task over one row per source: sources must be
+few enough for that (some millions).
 
 Cases: a null text has size 0; a null source is a source of its own, last in order; rows that repeat an id are rows of
 their own; a source of size 0 has target 0 and takes no words; an empty table gives an empty result; columns beside
@@ -24,9 +26,12 @@ from quire.llm import common
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def size_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    rows = common.source_rows(docs, id_col, (source_col, "source", "string"), (text_col, "text", "string"))
-    return rows.select("id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"))
 
 
 def targets(sized: DataFrame, most: int = 3) -> DataFrame:
@@ -59,14 +64,13 @@ def offset(source: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mix(docs: DataFrame, most: int = 3, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, copies and taken of every row."""
-    spark = common.session(docs)
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("id").asc_nulls_first()]
-    ranged = sizes(docs, id_col, text_col, source_col).repartitionByRange(common.partitions_for(spark), *order)
+def _mixed(sized: DataFrame, most: int, seed: str, *ties: str) -> DataFrame:
+    """The stored (id, source, size, ...) rows with source_size, target and copies; equal rows are told apart by `ties`."""
+    spark = common.session(sized)
+    within = [F.col("size"), F.col("id").asc_nulls_first(), *[F.col(c) for c in ties]]
+    ranged = sized.repartitionByRange(common.partitions_for(spark), F.col("source").asc_nulls_last(), *within)
     rows = common.stored(ranged.withColumn("part", F.spark_partition_id()), "sizes")
-    within = Window.partitionBy("part", "source").orderBy("size", F.col("id").asc_nulls_first())
-    ranked = rows.withColumn("rank", F.row_number().over(within))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("part", "source").orderBy(*within)))
     parts = rows.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n"))
     before = parts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     known = before.join(targets(rows, most).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("s"), F.col("part").alias("p"), "before", "source_size", "target", "rate")
@@ -74,15 +78,27 @@ def mix(docs: DataFrame, most: int = 3, seed: str = "mix", id_col: str = "doc_id
     rank, start = F.col("rank") + F.col("before"), offset(F.col("source"), seed)
     copies = (F.floor(rank * F.col("rate") + start) - F.floor((rank - 1) * F.col("rate") + start)).cast("long")
     copies = F.least(copies, F.lit(most))  # rounding of a rate of exactly `most` may cross one boundary more
-    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return rows.select(*sized.columns, "source_size", "target", copies.alias("copies"))
+
+
+def mix(docs: DataFrame, most: int = 3, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target, copies and taken of every row."""
+    rows = _mixed(common.stored(sizes(docs, id_col, text_col, source_col), "counted"), most, seed)
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed_rows(docs: DataFrame, most: int = 3, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Every row as often as mix() takes it, with all its columns. Rows that repeat an id share its copies evenly."""
-    taken = mix(docs, most, seed, id_col, text_col, source_col).groupBy(F.col("doc_id").alias("__id"))
-    times = taken.agg(F.floor(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("__times")).where("__times > 0")
-    rows = docs.join(times, F.col(id_col).eqNullSafe(F.col("__id")))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    """Every row as often as mix() takes it, with all its columns, also rows that repeat an id or have none.
+
+    Rows are numbered when they are written, so that each has its own copies. Which of several rows of one source, size
+    and id has a copy more than another depends on that number.
+    """
+    numbered = docs.withColumns({"__row": F.monotonically_increasing_id(), "__size": size_of(F.col(text_col))})
+    rows = common.stored(numbered, "numbered")
+    sized = rows.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.col("__size").alias("size"), "__row")
+    times = _mixed(sized, most, seed, "__row").where("copies > 0").select(F.col("__row").alias("__of"), F.col("copies").cast("int").alias("__times"))
+    taken = rows.join(times, F.col("__row") == F.col("__of"))
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
 
 
 MIX_SQL = r"""
