@@ -5,6 +5,7 @@ from __future__ import annotations
 import inspect
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from functools import wraps
@@ -129,12 +130,21 @@ def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def tidy() -> None:
-    """Give freed memory back to the system: Spark keeps Python workers for the next stage, beside its own heap."""
+_collected = 0.0
+
+
+def tidy(every: float = 1.0) -> None:
+    """Give freed memory back to the system: Spark keeps Python workers for the next stage, beside its own heap.
+
+    Cycles are collected once in `every` seconds at most: small groups follow each other fast.
+    """
     import ctypes
     import gc
 
-    gc.collect()
+    global _collected
+    if time.monotonic() - _collected >= every:
+        gc.collect()
+        _collected = time.monotonic()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -146,3 +146,21 @@ def test_one_of_each_group_stays(spark):
     kept = near_join.one_of_each(docs)
     ids = [r["doc_id"] for r in kept.collect()]
     assert kept.columns == docs.columns and 5 in ids and not {6, 9} & set(ids) and {0, 1, 2} <= set(ids)
+
+
+def test_a_chain_of_many_sets_is_one_component(spark):
+    """20 000 texts, each like its neighbours alone, and 300 in a chain of their own: far more than a task holds."""
+    line = lambda name, i: " ".join(f"{name}{k}" for k in range(2 * i, 2 * i + 60))
+    data = [(i, line("w", i)) for i in range(20_000)] + [(50_000 + i, line("v", i)) for i in range(300)] + [(90_000, line("w", 60_000))]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(8)
+    got = near_join.near_join(df, chunk_sets=250).groupBy("component_id").count().collect()
+    assert sorted(tuple(r) for r in got) == [(0, 20_000), (50_000, 300), (90_000, 1)]
+
+
+def test_a_shingle_of_all_documents_comes_once_a_block(spark):
+    """Boilerplate in every text: each block sends it to its bucket once, however many documents it has."""
+    boiler = " ".join(f"b{k}" for k in range(30))
+    docs = spark.createDataFrame([(i, f"{boiler} " + " ".join(f"x{i}y{k}" for k in range(6))) for i in range(400)], "id long, text string").coalesce(1)
+    blocks = near_join._blocks(docs, 5, 256).collect()
+    sent = sum(len(r["packed"]) // 6 + len(r["often"]) // 6 for r in blocks if r["times"] != b"own")
+    assert sent == 26 + 400 * 6 and {int(t) for r in blocks if r["times"] != b"own" for t in np.frombuffer(r["times"], "<u4")} == {400}
