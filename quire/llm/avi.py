@@ -7,9 +7,11 @@ decoded by array operations. Every frame is an intra frame with its own table an
 Shots are cut where the histogram difference of neighbouring frames stands out from the differences just before: over
 `floor` and over their mean plus `k` standard deviations.
 
-Cases: a null text counts as empty; an empty payload takes one frame of padding; a null media column, or bytes that are
-no AVI of such frames, gives no clip; null ids stay null; repeated rows give repeated rows; equal texts give equal
-media; empty tables give empty results; columns beside id and text are ignored, whatever their names.
+Cases: a null text counts as empty; an empty payload takes one frame of padding; a null media value gives no clip; bytes
+that are no AVI of such frames (other programs write lossy frames) give none either and "unreadable" as their feature;
+null ids stay null; repeated rows give repeated rows; equal texts give equal media; empty tables give empty results;
+texts of any length are stored whole, in further AVIX segments nothing is written but they are read; columns beside id
+and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -118,6 +120,10 @@ def _chunks(raw: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
         at += 8 + size + (size & 1)
 
 
+def _frame_chunks(raw: bytes, base: int, size: int) -> list[bytes]:
+    return [raw[a : a + n] for name, a, n in _chunks(raw, base + 4, base + size) if name[2:] in (b"dc", b"db")]
+
+
 def frames_of(raw: bytes) -> tuple[list[bytes], float]:
     """Frames of the first video stream, by the idx1 index or, where there is none, chunk by chunk; frames a second."""
     if raw[:4] != b"RIFF" or raw[8:12] != b"AVI ":
@@ -138,14 +144,22 @@ def frames_of(raw: bytes) -> tuple[list[bytes], float]:
                 rate = ticks / scale if scale else rate
     if movi is None:
         raise ValueError("an AVI file without movi list")
+    # Segments after the first have no index of their own kind: their frames are found chunk by chunk.
+    later, at = [], 8 + struct.unpack_from("<I", raw, 4)[0]
+    while raw[at : at + 4] == b"RIFF" and raw[at + 8 : at + 12] == b"AVIX":
+        end = at + 8 + struct.unpack_from("<I", raw, at + 4)[0]
+        for name, start, size in _chunks(raw, at + 12, min(end, len(raw))):
+            if name == b"LIST" and raw[start : start + 4] == b"movi":
+                later += _frame_chunks(raw, start, size)
+        at = end + (end & 1)
     base, size = movi
     if index is None:
-        return [raw[a : a + n] for name, a, n in _chunks(raw, base + 4, base + size) if name[2:] in (b"dc", b"db")], rate
+        return _frame_chunks(raw, base, size) + later, rate
     found = np.frombuffer(index, [("id", "S4"), ("flags", "<u4"), ("at", "<u4"), ("size", "<u4")])
     # Places count from the movi list's name, or in some files from the start of the file.
     shift = base if not len(found) or found["at"][0] < base else 0
     mine = np.isin(found["id"], [b"00dc", b"00db"])
-    return [raw[shift + a + 8 : shift + a + 8 + n] for a, n in zip(found["at"][mine].tolist(), found["size"][mine].tolist(), strict=True)], rate
+    return [raw[shift + a + 8 : shift + a + 8 + n] for a, n in zip(found["at"][mine].tolist(), found["size"][mine].tolist(), strict=True)] + later, rate
 
 
 def cuts(samples: np.ndarray, floor: float = 0.25, k: float = 2.0, window: int = 8) -> list[int]:
@@ -186,17 +200,17 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return common.texts_of(docs, id_col, text_col).mapInArrow(common.tidied(run), schema)
 
 
-def _read(media: bytes | None) -> tuple[np.ndarray, float, list[tuple[int, int]]]:
-    """Samples, frames a second and the first and last frame of each shot; none of a null or unreadable value."""
+def _read(media: bytes | None) -> tuple[np.ndarray, float, list[tuple[int, int]], bool]:
+    """Samples, frames a second, the first and last frame of each shot, and whether the value is null or can be read."""
     if media is None:
-        return np.zeros((0, SAMPLES), np.uint8), FRAMES_PER_S, []
+        return np.zeros((0, SAMPLES), np.uint8), FRAMES_PER_S, [], True
     try:
         frames, rate = frames_of(media)
         samples = decoded_frames(frames)
     except (ValueError, struct.error):
-        return np.zeros((0, SAMPLES), np.uint8), FRAMES_PER_S, []
+        return np.zeros((0, SAMPLES), np.uint8), FRAMES_PER_S, [], False
     firsts = cuts(samples)
-    return samples, rate, [(a, b - 1) for a, b in zip(firsts, [*firsts[1:], len(samples)], strict=False)]
+    return samples, rate, [(a, b - 1) for a, b in zip(firsts, [*firsts[1:], len(samples)], strict=False)], True
 
 
 def clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -204,10 +218,10 @@ def clips(media: DataFrame, id_col: str = "doc_id", media_col: str = "media") ->
     schema = common.struct(CLIPS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches):
             rows = []
             for i, m in zip(b.column("id").to_pylist(), b.column("media").to_pylist(), strict=True):
-                samples, rate, shots = _read(m)
+                samples, rate, shots, _ = _read(m)
                 for c, (a, e) in enumerate(shots):
                     rows.append({"doc_id": i, "clip": c, "first_frame": a, "last_frame": e, "start_s": a / rate, "end_s": (e + 1) / rate, "brightness": float(samples[a : e + 1].mean())})
             yield pa.RecordBatch.from_pylist(rows, schema=common.arrow_schema(schema))
@@ -220,14 +234,14 @@ def media_digests(media: DataFrame, id_col: str = "doc_id", media_col: str = "me
     schema = common.struct(DIGESTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches):
             rows = []
             for i, m in zip(b.column("id").to_pylist(), b.column("media").to_pylist(), strict=True):
-                samples, rate, shots = _read(m)
+                samples, rate, shots, known = _read(m)
                 payload = samples.tobytes()
                 spans = ",".join(f"{a}-{e}" for a, e in shots)
                 n = len(payload.rstrip(bytes([PADDING])))  # no UTF-8 text ends in byte 255
-                rows.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m or b""), hashlib.sha256(m or b"").hexdigest(), f"{len(samples)} frames at {rate:g}/s: {spans}"))
+                rows.append((i, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m or b""), hashlib.sha256(m or b"").hexdigest(), f"{len(samples)} frames at {rate:g}/s: {spans}" if known else "unreadable"))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(common.arrow_schema(schema))], schema=common.arrow_schema(schema))
 
     return common.source_rows(media, id_col, (media_col, "media", "binary")).mapInArrow(common.tidied(run), schema)

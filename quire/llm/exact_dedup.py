@@ -124,11 +124,11 @@ def groups(rows: DataFrame, history_share: float = 0.5) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that exact_dedup() keeps, with all their columns."""
-    found = groups(common.stored(digests(docs, id_col, text_col), "digests"))
+    """The rows that exact_dedup() keeps, with all their columns. Texts are digested once, as the rows are written."""
+    rows = common.stored(docs.withColumn("__digest", digest_of(F.col(text_col))), "digested")
+    found = groups(rows.select(F.col(id_col).cast("long").alias("id"), F.col("__digest").alias("digest")))
     winner = found.select(F.col("digest").alias("__of"), F.when(F.col("keep_id") != NO_ID, F.col("keep_id")).alias("__keep"))
-    rows = docs.withColumn("__digest", digest_of(F.col(text_col)))
-    return rows.join(winner, (F.col("__digest") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi").select(*docs.columns)
+    return rows.join(winner, (F.col("__digest") == F.col("__of")) & F.col(id_col).cast("long").eqNullSafe(F.col("__keep")), "left_semi").select(*docs.columns)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history_share: float = 0.5) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm.avi import media_digests, text_media
+from quire.llm.avi import clips, media_digests, text_media
 from quire.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from quire.llm.licenses import license_scan
 from quire.llm.mixing import MIX_SQL, mix
@@ -66,6 +66,11 @@ def op9_avi_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digests(text_media(table(spark, sf_dir, "documents")))
 
 
+def media_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timed clips of the media that op9_avi_clips digests."""
+    return clips(text_media(table(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), limit=512)
 
@@ -81,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_store": op8_token_store,
     "op9_avi_clips": op9_avi_clips,
     "op10_token_counts": op10_token_counts,
+    "media_clips": media_clips,
 }
 ORACLE: dict[str, str] = {"op1_exact_dedup": EXACT_DEDUP_SQL, "op4_mix_sources": MIX_SQL, "op6_warc_members": ARCHIVE_SQL, "op7_near_join": NEAR_JOIN_SQL}

@@ -6,7 +6,8 @@ stays inside the task: as a Spark join over all documents the frequency table ha
 the corpus, several times the input in shuffled bytes.
 
 Cases: a null text counts as empty and has 0 tokens and 0 bytes; a null id stays null; repeated rows give repeated
-rows; an empty table gives an empty result; columns beside id and text are ignored, whatever their names.
+rows; an empty table gives an empty result; texts of any length are counted whole; columns beside id and text are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

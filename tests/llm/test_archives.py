@@ -95,11 +95,27 @@ def test_frames_without_index_and_files_that_are_none(spark):
     assert avi.frames_of(raw) == (frames, 25.0)
     at = raw.index(b"idx1")
     assert avi.frames_of(raw[:at])[0] == frames
+    second = b"RIFF" + struct.pack("<I", 4 + len(raw[raw.index(b"movi") - 8 : at])) + b"AVIX" + raw[raw.index(b"movi") - 8 : at]
+    assert avi.frames_of(raw + second)[0] == frames + frames
     df = spark.createDataFrame([(1, bytearray(raw)), (2, None), (3, bytearray(b"RIFF")), (4, bytearray(b"")), (5, bytearray(raw[: len(raw) // 2]))], "doc_id long, media binary")
     assert {r["doc_id"] for r in avi.clips(df).collect()} <= {1, 5}
+    feature = {r["doc_id"]: r["feature"] for r in avi.media_digests(df).collect()}
+    assert feature[3] == feature[4] == feature[5] == "unreadable" and feature[2].startswith("0 frames") and feature[1].startswith("3 frames")
     assert struct.unpack_from("<I", raw, 4)[0] == len(raw) - 8
 
 
+def test_clips_are_those_of_the_query(spark):
+    """Clips cover the frames of each document without gaps, at the shots that op9 states."""
+    from quire.llm.queries import media_clips, op9_avi_clips
+
+    sf = "/root/testdata/sf0.001"
+    shots = {}
+    for r in media_clips(spark, sf).orderBy("doc_id", "clip").collect():
+        shots.setdefault(r["doc_id"], []).append(f"{r['first_frame']}-{r['last_frame']}")
+        assert r["start_s"] == r["first_frame"] / 25 and r["end_s"] == (r["last_frame"] + 1) / 25
+    assert {r["doc_id"]: r["feature"].split(": ")[1] for r in op9_avi_clips(spark, sf).collect()} == {k: ",".join(v) for k, v in shots.items()}
+
+
 def test_shots_are_cut_where_histograms_jump(spark):
     x = np.full((12, 576), 40, np.uint8)
     x[5:9] = 200
