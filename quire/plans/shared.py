@@ -9,10 +9,16 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, checkpointed in the folder that spark.checkpoint.dir names; only where it is unset, in one of our own."""
+    """df, checkpointed in the folder that spark.checkpoint.dir names; where it is unset, in one of our own on a local master.
+
+    On a cluster an unset folder is an error: executors and driver share no other.
+    """
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="quire-"))
     return df.checkpoint()
 
 
