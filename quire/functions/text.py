@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -133,6 +133,15 @@ def _runs(tokens: Column) -> Column:
     return F.array_distinct(bare)
 
 
+def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with array columns that lambdas may name without evaluating their expressions for each element again.
+
+    Expressions in lambdas are evaluated for each element: these are bound as fields of one generated row instead.
+    """
+    one = F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()])))
+    return df.select("*", one)
+
+
 def num_runs(c: Column, every: bool = False) -> Column:
     """Numbers of two digits and more, and one-digit ones beside a currency or percent sign (or every)."""
     all_runs = _runs(F.regexp_extract_all(c, F.lit(NUMBER), F.lit(0)))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.config import DEFAULT, Config
 from quire.functions import text as T
 from quire.operators.fold import merge_variants
+from quire.plans.shared import cut, global_rank
 
 
 def status(keep: Column) -> Column:
@@ -61,10 +64,11 @@ def paren_evidence(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(T.paren_terms(F.col("tgt"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def numbers(pairs: DataFrame) -> DataFrame:
-    """Pairs whose target lacks numbers of the source: id, missing (joined), kind."""
-    found = T.num_runs(F.col("tgt"), every=True)
-    rows = pairs.withColumn("missing", T.num_missing(T.num_runs(F.col("src")), found)).where(F.size("missing") > 0)
+def numbers(pairs: DataFrame, broken: DataFrame | None = None) -> DataFrame:
+    """Pairs whose target lacks numbers of the source: id, missing (joined), kind. broken: (id) of pairs to leave out."""
+    rows = pairs if broken is None else pairs.join(broken.select("id"), "id", "left_anti")
+    rows = T.settled(rows, {"__src": T.num_runs(F.col("src")), "__tgt": T.num_runs(F.col("tgt"), every=True)})
+    rows = T.settled(rows, {"missing": T.num_missing(F.col("__src"), F.col("__tgt"))}).where(F.size("missing") > 0)
     return rows.select("id", F.array_join("missing", " ").alias("missing"), T.classify_number(F.col("missing"), F.col("src"), F.col("tgt")).alias("kind"))
 
 
@@ -95,11 +99,98 @@ def contiguous(codes: DataFrame) -> DataFrame:
     return one.withColumn("contiguous", F.col("high") - F.col("low") + 1 == F.col("n"))
 
 
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """Spans (font, lo, hi) that overlap or touch as one: what is left doesn't overlap."""
+    order = Window.partitionBy("font").orderBy("lo", "hi")
+    before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.distinct().withColumn("new", F.coalesce(F.col("lo") > before + 1, F.lit(True)).cast("int"))
+    numbered = marked.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("font", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("island")
+
+
+def covered_glyphs(glyphs: DataFrame, spans: DataFrame) -> DataFrame:
+    """(font, gid, ...) glyphs with whether a span of their font holds them, in a sweep over both in order of code."""
+    both = glyphs.withColumns({"__at": F.col("gid"), "__hi": F.lit(None).cast("long")}).unionByName(merged_spans(spans).select("font", F.col("lo").cast("long").alias("__at"), F.col("hi").cast("long").alias("__hi")), allowMissingColumns=True)
+    # Of the spans that begin at a code or before it, the last one ends furthest: spans don't overlap.
+    order = Window.partitionBy("font").orderBy("__at", F.col("__hi").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    swept = both.withColumn("__end", F.last("__hi", ignorenulls=True).over(order)).where("gid IS NOT NULL")
+    return swept.withColumn("covered", F.coalesce(F.col("gid") <= F.col("__end"), F.lit(False))).drop("__at", "__hi", "__end")
+
+
 def outside_spans(glyphs: DataFrame, spans: DataFrame) -> DataFrame:
     """(font, gid) glyphs against (font, lo, hi) code spans: by font, glyphs and those within no span."""
-    inside = glyphs.join(spans, "font").where((F.col("gid") >= F.col("lo")) & (F.col("gid") <= F.col("hi"))).select("font", "gid").distinct()
-    marked = glyphs.join(inside.withColumn("inside", F.lit(True)), ["font", "gid"], "left")
-    return marked.groupBy("font").agg(F.count(F.lit(1)).alias("n_glyphs"), F.count_if(F.col("inside").isNull()).alias("n_outside"))
+    return covered_glyphs(glyphs, spans).groupBy("font").agg(F.count(F.lit(1)).alias("n_glyphs"), F.count_if(~F.col("covered")).alias("n_outside"))
+
+
+def charset_evidence(texts: DataFrame, intended: DataFrame, glyphs: DataFrame, spans: DataFrame) -> DataFrame:
+    """Unexpected characters with what tells harmless from broken ones, and the verdict.
+
+    texts: (page, ln, text) of the product; intended: (page, text); glyphs: (page, font, ch, gid), one row for each glyph
+    drawn; spans: (font, lo, hi) codes that each font maps. A character drawn by a glyph outside of its font's codes is
+    broken, one that is drawn inside only is benign, one that isn't drawn is benign if it is known to be.
+    """
+    wanted = characters(intended).select("ch").distinct()
+    rows = texts.select("page", "ln", F.trim("text").alias("text"), F.explode(F.split("text", "")).alias("ch")).where(~F.col("ch").rlike(r"^(?U)\s?$")).join(wanted, "ch", "left_anti")
+    per_line = rows.groupBy("ch", "page", "ln").agg(F.count(F.lit(1)).alias("n"), F.min(F.substring("text", 1, 70)).alias("text"))
+    # Samples are kept in bounded arrays: ten pages, two examples, six codes.
+    first = lambda c, k: F.slice(F.array_sort(F.collect_set(c)), 1, k)
+    pages = per_line.select("ch", "page").distinct()
+    few = pages.withColumn("k", F.row_number().over(Window.partitionBy("ch").orderBy("page"))).where("k <= 10").groupBy("ch").agg(F.array_sort(F.collect_list("page")).alias("pages"))
+    shown = per_line.withColumn("k", F.row_number().over(Window.partitionBy("ch").orderBy("page", "ln"))).where("k <= 2").groupBy("ch").agg(F.array_sort(F.collect_list(F.struct("page", "ln", "text"))).alias("examples"))
+    counts = per_line.groupBy("ch").agg(F.sum("n").alias("n"))
+    drawn = glyphs.groupBy("ch", "font", "gid").agg(F.count(F.lit(1)).alias("k")).join(counts.select("ch"), "ch", "left_semi")
+    traced = covered_glyphs(drawn, spans).groupBy("ch").agg(first("font", 1000).alias("fonts"), first("gid", 6).alias("codes"), F.sum(F.when(~F.col("covered"), F.col("k")).otherwise(0)).alias("n_outside"), F.sum("k").alias("n_traced"))
+    out = counts.join(few, "ch").join(shown, "ch").join(traced, "ch", "left")
+    outside, found = F.coalesce("n_outside", F.lit(0)), F.coalesce("n_traced", F.lit(0))
+    verdict = F.when(outside > 0, "broken").when(found > 0, "benign").when(F.col("ch").isin(*T.BENIGN), "benign").otherwise("broken")
+    code = F.conv(F.hex(F.encode("ch", "utf-32")), 16, 10).cast("long")
+    joined = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
+    return out.select("ch", code.alias("code"), "n", joined("pages").alias("pages"), F.array_join(F.transform("examples", lambda e: F.concat_ws(":", e["page"], e["ln"], e["text"])), " / ").alias("examples"), joined("fonts").alias("fonts"), joined("codes").alias("codes"), outside.alias("n_outside"), found.alias("n_traced"), verdict.alias("verdict"))
+
+
+def source_items(units: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Both layers as one table: text units (id, page, ln, text, passthrough) and blocks (page, ln, text, conf) of images."""
+    text = units.select("id", "page", "ln", F.lit("text").alias("layer"), F.col("text").alias("src"), F.coalesce("passthrough", F.lit(False)).alias("passthrough"), F.lit(None).cast("double").alias("conf"))
+    # The ordinal counts all image blocks in order of page and place.
+    l2 = global_rank(blocks.select("page", "ln", "text", "conf"), "__k", F.col("page"), F.col("ln"))
+    l2 = l2.select(F.concat_ws(":", F.lit("l2"), "page", F.col("__k") - 1).alias("id"), "page", "ln", F.lit("l2").alias("layer"), F.col("text").alias("src"), F.lit(False).alias("passthrough"), F.col("conf").cast("double"))
+    return text.unionByName(l2)
+
+
+def clean_pairs(pairs: DataFrame, broken: DataFrame) -> DataFrame:
+    """Pairs (id, tgt, ...) without the (ch) broken characters in their target."""
+    return pairs.join(broken_pairs(pairs, broken), "id", "left_anti")
+
+
+def broken_pairs(pairs: DataFrame, broken: DataFrame) -> DataFrame:
+    """Ids of the pairs whose target holds a broken character."""
+    chars = pairs.select("id", F.explode(F.array_distinct(F.split("tgt", ""))).alias("ch"))
+    return chars.join(broken.select("ch"), "ch", "left_semi").select("id").distinct()
+
+
+def text_audit(pairs: DataFrame, evidence: DataFrame, terms: DataFrame) -> DataFrame:
+    """The audit in order: section, and number of findings; consistency checks see clean pairs only.
+
+    pairs: id, doc, ln, page, src, tgt, layer, passthrough; evidence: of charset_evidence(); terms: (en, zh).
+    """
+    broken = evidence.where("verdict = 'broken'")
+    dirty = cut(broken_pairs(pairs, broken))
+    clean = pairs.join(dirty, "id", "left_anti")
+    found = numbers(pairs, dirty)
+    counts = [
+        ("pairs", with_status(pairs)),
+        ("broken characters", broken),
+        ("pairs with broken characters", dirty),
+        ("repeats translated differently", repeats(clean)),
+        ("proper nouns of mixed policy", proper_nouns(clean).where("policy = 'policy-mixed'")),
+        ("terms in brackets", paren_evidence(clean)),
+        ("numbers lost", found.where("kind = 'check'")),
+        ("numbers explained", found.where("kind <> 'check'")),
+        ("terms against the glossary", glossary_violations(with_status(pairs), terms).where("n_violations > 0")),
+        ("negations lost", negations(pairs)),
+    ]
+    rows = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("ord"), F.lit(name).alias("section"), "n") for i, (name, df) in enumerate(counts)]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _occurrences(pairs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -115,17 +206,48 @@ def _occurrences(pairs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.join(whole, "w").where((F.col("w") == F.lower("en")) | F.rlike("src", F.col("phrase"))).drop("phrase")
 
 
+def _bilingual(pairs: DataFrame) -> DataFrame:
+    """Pairs with a translation, as far as a status tells."""
+    return pairs.where(F.col("status").isin("translated", "same"))
+
+
 def glossary_violations(pairs: DataFrame, terms: DataFrame) -> DataFrame:
-    """By term (en, zh): pairs with the term in the source, and those with neither form in the target."""
-    hit = _occurrences(pairs, terms)
+    """By term (en, zh): translated or same pairs with the term in the source, and those with neither form in the target.
+
+    Terms without a zh form are checked by no pair.
+    """
+    hit = _occurrences(_bilingual(pairs), terms.where("en <> '' AND zh <> ''"))
     bad = ~F.contains("tgt", "zh") & ~F.contains(F.lower("tgt"), F.lower("en"))
     return hit.groupBy("en").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_violations"))
 
 
 def glossary_freeze(pairs: DataFrame, terms: DataFrame) -> DataFrame:
-    """By term: distinct targets, whether the term is kept in all of them and whether it needs a ruling."""
-    per = _occurrences(pairs, terms).groupBy("en").agg(F.countDistinct("tgt").alias("n_targets"), F.min(F.contains(F.lower("tgt"), F.lower("en"))).alias("keep"))
-    return per.withColumn("needs_ruling", ~F.col("keep") & (F.col("n_targets") > 1))
+    """Candidates (en, zh, verdict) that occur, settled by their targets: en, zh, n_targets, keep and needs_ruling.
+
+    A term without zh is kept if all its targets hold it, takes the words before the bracket where brackets propose it
+    and all targets are one, and needs a ruling otherwise.
+    """
+    per = _occurrences(_bilingual(pairs), terms.where(F.trim("en") != "")).groupBy("en", "zh", "verdict").agg(F.countDistinct("tgt").alias("n_targets"), F.min("tgt").alias("tgt"), F.min(F.contains(F.lower("tgt"), F.lower("en"))).alias("held"))
+    given, inside = F.trim(F.coalesce("zh", F.lit(""))), T.before_paren(F.col("tgt"))
+    found = F.when((given == "") & (F.col("n_targets") == 1) & (F.col("verdict") == "paren") & (inside != F.col("en")), inside).otherwise(given)
+    per = per.withColumn("zh", found)
+    open_ = F.col("zh") == ""
+    return per.select("en", "zh", "n_targets", F.when(open_ & F.col("held"), True).otherwise(F.col("verdict") == "kept").alias("keep"), (open_ & ~F.col("held")).alias("needs_ruling"))
+
+
+def frozen(terms: DataFrame) -> DataFrame:
+    """One row: settled and open terms, and whether the glossary may be frozen."""
+    one = terms.agg(F.count_if(~F.col("needs_ruling")).alias("n_settled"), F.count_if("needs_ruling").alias("n_open"))
+    return one.withColumn("frozen", F.col("n_open") == 0)
+
+
+def consistent(glossary: DataFrame, proposals: DataFrame) -> DataFrame:
+    """(en, zh) for every term: the frozen form wins, else the longest proposed one; empty keys and forms are skipped."""
+    key = F.lower(F.trim("en"))
+    best = proposals.withColumn("key", key).where("key <> '' AND trim(zh) <> ''").groupBy("key").agg(F.max(F.struct(F.length("zh").alias("n"), "zh", "en")).alias("m"))
+    fixed = glossary.withColumn("key", key).where("key <> '' AND trim(zh) <> ''").groupBy("key").agg(F.min(F.struct("en", "zh")).alias("f"))
+    both = best.join(fixed, "key", "full_outer")
+    return both.select(F.coalesce("f.en", "m.en").alias("en"), F.coalesce("f.zh", "m.zh").alias("zh"), F.col("f").isNotNull().alias("fixed"), F.coalesce(F.col("f.zh") != F.col("m.zh"), F.lit(False)).alias("differs"))
 
 
 def glossary_proposal(policies: DataFrame, evidence: DataFrame) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import geom as G
-from quire.operators.spatial import prefixed
+from quire.functions import text as T
+from quire.operators.spatial import box_join, prefixed
 from quire.plans.groups import map_groups
 
-UNITS = "doc long, page long, unit int, x0 double, y0 double, x1 double, y1 double, text string, font string, size double, align string, lineheight double, nlines int"
+UNITS = "doc long, page long, unit int, x0 double, y0 double, x1 double, y1 double, text string, font string, size double, align string, lineheight double, nlines int, lines array<struct<x0: double, y0: double, x1: double, y1: double>>, passthrough boolean"
+_PAGE_NUMBER = re.compile(T.PAGE_NUMBER)
 ALIGNED = "doc long, page long, unit int, align string, why string"
 
 
@@ -66,49 +70,82 @@ def page_units(lines: list[dict]) -> list[tuple]:
         x = g["lines"]
         longest = max(x, key=lambda k: len(k["text"]))
         height = (x[-1]["y0"] - x[0]["y0"]) / (len(x) - 1) if len(x) > 1 else None
-        rows.append((x[0]["doc"], x[0]["page"], i, min(k["x0"] for k in x), min(k["y0"] for k in x), max(k["x1"] for k in x), max(k["y1"] for k in x), _text(x), longest["font"], longest["size"], _rough(x), height, len(x)))
+        rows.append((x[0]["doc"], x[0]["page"], i, min(k["x0"] for k in x), min(k["y0"] for k in x), max(k["x1"] for k in x), max(k["y1"] for k in x), _text(x), longest["font"], longest["size"], _rough(x), height, len(x), [{c: k[c] for c in ("x0", "y0", "x1", "y1")} for k in x], not re.search("[A-Za-z]", _text(x))))
     return rows
 
 
 def units(lines: DataFrame) -> DataFrame:
-    """lines: doc, page, ln, x0, y0, x1, y1, text, font, size, color. A task holds one page at a time."""
+    """lines: doc, page, ln, x0, y0, x1, y1, text, font, size, color. A task holds one page at a time.
+
+    Units without a letter are passed through untranslated.
+    """
     return map_groups(lines, ["doc", "page"], ["ln"], page_units, UNITS)
 
 
+def _range(values: list[float]) -> float:
+    """Range of which one end may be left out where there are three values and more."""
+    v = sorted(values)
+    return min(v[-1] - v[0], v[-1] - v[1], v[-2] - v[0]) if len(v) >= 3 else v[-1] - v[0]
+
+
+def _axes(lines: list[dict]) -> dict[str, list[float]]:
+    return {"left": [x["x0"] for x in lines], "right": [x["x1"] for x in lines], "center": [(x["x0"] + x["x1"]) / 2 for x in lines]}
+
+
+def lines_align(lines: list[dict], size: float) -> str:
+    """Alignment of a unit of several lines: left where it holds, else the axis that is clearly the tightest."""
+    tol, spans = max(1.5, 0.15 * size), {k: _range(v) for k, v in _axes(lines).items()}
+    if spans["left"] <= tol:
+        return "left"
+    (best, span), (_, second) = sorted(spans.items(), key=lambda x: x[1])[:2]
+    return best if span <= tol and (second <= 0 or span <= 0.6 * second) else "left"
+
+
+def _axis(lines: list[dict], kind: str) -> float:
+    values = _axes(lines)[kind]
+    return min(values) if kind == "left" else max(values) if kind == "right" else sorted(values)[len(values) // 2]
+
+
 def page_align(rows: list[dict]) -> list[tuple]:
-    """Alignment of a page's single lines by anchors, their row, earlier units of the row, and the page."""
+    """Alignment of a page's units; single lines go by anchors, their row, earlier units of the row, and the page's width."""
     multi = [r for r in rows if r["nlines"] > 1]
-    width = max(r["x1"] for r in rows)
-    decided: dict[int, tuple[str, str]] = {r["unit"]: (r["align"], "multi") for r in multi}
+    width = rows[0]["width"]
+    decided: dict[int, tuple[str, str]] = {r["unit"]: (lines_align(r["lines"], r["size"]), "multi") for r in multi}
+    axes = {r["unit"]: _axis(r["lines"], decided[r["unit"]][0]) for r in multi}
     for r in rows:
         if r["nlines"] > 1:
             continue
+        if _PAGE_NUMBER.match(r["text"]):
+            decided[r["unit"]] = (r["align"], "number")
+            continue
         tol = max(2.0, 0.15 * r["size"])
-        center = (r["x0"] + r["x1"]) / 2
-        near = sorted((m for m in multi if max(0.0, min(r["x1"], m["x1"]) - max(r["x0"], m["x0"])) >= 0.5 * min(r["x1"] - r["x0"], m["x1"] - m["x0"])), key=lambda m: (max(0.0, m["y0"] - r["y1"], r["y0"] - m["y1"]), m["unit"]))
-        axis = {"left": (r["x0"], "x0"), "right": (r["x1"], "x1")}
-        found = next((m["align"] for m in near if abs((axis[m["align"]][0] - m[axis[m["align"]][1]]) if m["align"] in axis else center - (m["x0"] + m["x1"]) / 2) <= tol), None)
+        own = {"left": r["x0"], "right": r["x1"], "center": (r["x0"] + r["x1"]) / 2}
+        center = own["center"]
+        share = lambda m, r=r: max(0.0, min(r["x1"], m["x1"]) - max(r["x0"], m["x0"])) / max(min(r["x1"] - r["x0"], m["x1"] - m["x0"]), 1e-6)
+        near = sorted((m for m in multi if share(m) >= 0.5), key=lambda m, r=r: (max(0.0, m["y0"] - r["y1"], r["y0"] - m["y1"]), m["unit"]))
+        found = next((decided[m["unit"]][0] for m in near if abs(own[decided[m["unit"]][0]] - axes[m["unit"]]) <= tol), None)
         if found:
             decided[r["unit"]] = (found, "anchor")
             continue
         row = [s for s in rows if s["unit"] != r["unit"] and min(s["y1"], r["y1"]) > max(s["y0"], r["y0"])]
         left = max((s["x1"] for s in row if s["x1"] <= r["x0"] + 1), default=None)
         right = min((s["x0"] for s in row if s["x0"] >= r["x1"] - 1), default=None)
-        if left is not None and right is not None and abs(center - (left + right) / 2) <= tol:
+        if left is not None and right is not None and right > left and abs(center - (left + right) / 2) <= tol:
             decided[r["unit"]] = ("center", "row-mid")
-        elif any(abs(s["size"] - r["size"]) < 0.5 and decided.get(s["unit"], ("",))[0] == "center" for s in row):
+        elif any(abs(s["size"] - r["size"]) < 0.5 and decided.get(s["unit"], (s["align"],))[0] == "center" for s in row):
             decided[r["unit"]] = ("center", "row-inherit")
-        elif not multi and r["x0"] > tol and abs(center - width / 2) <= tol:
+        elif not multi and width and r["x0"] > tol and abs(center - width / 2) <= tol:
             decided[r["unit"]] = ("center", "page")
-        elif not multi and r["x1"] >= width - 12 and r["x0"] > tol:
+        elif not multi and width and r["x1"] >= width - 12:
             decided[r["unit"]] = ("right", "page")
         else:
             decided[r["unit"]] = ("left", "default")
     return [(r["doc"], r["page"], r["unit"], *decided[r["unit"]]) for r in rows]
 
 
-def aligned(units: DataFrame) -> DataFrame:
-    return map_groups(units, ["doc", "page"], ["unit"], page_align, ALIGNED)
+def aligned(units: DataFrame, pages: DataFrame) -> DataFrame:
+    """Alignment of units(); pages: (page, width). Units of pages without a width get no alignment from the page."""
+    return map_groups(units.join(pages.select("page", "width"), "page", "left"), ["doc", "page"], ["unit"], page_align, ALIGNED)
 
 
 def multi_aligned(lines: DataFrame, size: Column) -> DataFrame:
@@ -140,8 +177,6 @@ def room_below(boxes: DataFrame, slack: float = 2.0) -> DataFrame:
 
 def row_neighbours(boxes: DataFrame) -> DataFrame:
     """Nearest right edge to the left and left edge to the right of a box among boxes of its row."""
-    from quire.operators.spatial import box_join
-
     theta = (F.col("l_ln") != F.col("r_ln")) & (F.least("l_y1", "r_y1") - F.greatest("l_y0", "r_y0") > 0)
     met = box_join(prefixed(boxes, "l_"), prefixed(boxes, "r_"), theta)
     per = met.groupBy("l_page", "l_ln").agg(F.max(F.when(F.col("r_x1") <= F.col("l_x0") + 1, F.col("r_x1"))).alias("left"), F.min(F.when(F.col("r_x0") >= F.col("l_x1") - 1, F.col("r_x0"))).alias("right"))

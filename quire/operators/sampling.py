@@ -24,28 +24,37 @@ def quantile(df: DataFrame, column: str, p: float, name: str) -> DataFrame:
     return hit.select(F.coalesce("v", F.lit(0.0)).alias(name))
 
 
-def page_features(blocks: DataFrame) -> DataFrame:
-    """By page: characters, blocks, small blocks, greatest height of a title, numbers and negations."""
-    h, text = F.col("y1") - F.col("y0"), F.col("text")
-    return blocks.groupBy("page").agg(
-        F.sum(F.length(text)).alias("chars"),
-        F.count_if(F.col("ln") % 2 == 1).alias("l2"),
-        F.count_if(h < 5).alias("small"),
-        F.coalesce(F.max(F.when(F.length(text) >= 2, h)), F.lit(0.0)).alias("title"),
+def page_features(blocks: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """By page of (page, layer, text, y0, y1) blocks: characters and greatest type of the text layer, blocks and small
+    blocks of the second layer (l2), digits and negations of both; images and their share of the page.
+
+    images: (page, area, page_area); without it the page has none.
+    """
+    h, text, second = F.col("y1") - F.col("y0"), F.col("text"), F.col("layer") == "l2"
+    whole = F.sum(F.when(~second, F.length(text)).otherwise(0))
+    per = blocks.groupBy("page").agg(
+        (F.sum(F.when(~second, F.regexp_count(text, F.lit(T.CJK_WIDE))).otherwise(0)) + F.floor(whole / 2)).cast("long").alias("chars"),
+        F.count_if(second).alias("l2"),
+        F.count_if(second & (h < 5)).alias("small"),
+        F.coalesce(F.max(F.when(~second & (F.length(F.trim(text)) >= 2), h)), F.lit(0.0)).alias("title"),
         F.sum(F.regexp_count(text, F.lit("[0-9]"))).alias("digits"),
         F.sum(F.regexp_count(text, F.lit(T.RISK_NEGATION))).alias("negations"),
     )
+    if images is None:
+        return per.withColumns({"images": F.lit(0).cast("long"), "image_share": F.lit(0.0)})
+    of = images.groupBy("page").agg(F.count(F.lit(1)).alias("images"), F.bround(F.sum("area") / F.greatest(F.lit(1.0), F.max("page_area")), 3).alias("image_share"))
+    return per.join(of, "page", "left").withColumns({"images": F.coalesce("images", F.lit(0)), "image_share": F.coalesce("image_share", F.lit(0.0))})
 
 
 def strata(features: DataFrame) -> DataFrame:
     """page and stratum: cover, chapter, dense, chart, text or other, the first that holds, by quantiles."""
     f = cut(features)
-    marks = [("title", 0.90, "q_title", f), ("l2", 0.75, "q_dense", f), ("chars", 0.25, "q_few", f), ("chars", 0.60, "q_many", f), ("l2", 0.25, "q_plain", f.where("l2 > 0"))]
+    marks = [("title", 0.90, "q_title", f.where("title > 0")), ("l2", 0.75, "q_dense", f), ("chars", 0.25, "q_few", f), ("chars", 0.60, "q_many", f), ("l2", 0.25, "q_plain", f.where("l2 > 0"))]
     for column, p, name, rows in marks:
         f = f.crossJoin(F.broadcast(quantile(rows, column, p, name)))
     stratum = (
         F.when(F.col("page") == 1, "cover")
-        .when(F.col("title") >= F.col("q_title"), "chapter")
+        .when((F.col("title") >= F.col("q_title")) & (F.col("q_title") > 0), "chapter")
         .when(F.col("l2") >= F.col("q_dense"), "dense")
         .when((F.col("chars") <= F.col("q_few")) & (F.col("l2") > 0), "chart")
         .when((F.col("chars") >= F.col("q_many")) & (F.col("l2") <= F.col("q_plain")), "text")
@@ -63,42 +72,56 @@ def ratio_anomalies(pairs: DataFrame, low: float = 0.05, high: float = 0.95) ->
     return rows.crossJoin(F.broadcast(bounds)).where("ratio < lo OR ratio > hi").groupBy("page").agg(F.count(F.lit(1)).alias("anomalies"))
 
 
-def risk(features: DataFrame, anomalies: DataFrame | None = None) -> DataFrame:
-    """page and risk: weighted shares of the maxima of digits, negations, ratio anomalies, blocks of the second layer and small ones.
-
-    anomalies: (page, anomalies) by ratio_anomalies; without it, that part is left out.
-    """
+def risk(features: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """page and risk: weighted shares of the maxima of digits, negations, ratio anomalies (page, anomalies), blocks of the second layer and small ones."""
     weights = {"digits": 1.0, "negations": 2.0, "anomalies": 2.0, "l2": 0.5, "small": 0.5}
-    if anomalies is None:
-        del weights["anomalies"]
-    else:
-        features = features.join(anomalies, "page", "left").withColumn("anomalies", F.coalesce("anomalies", F.lit(0)))
+    features = features.join(anomalies, "page", "left").withColumn("anomalies", F.coalesce("anomalies", F.lit(0)))
     f = cut(features)
     most = f.agg(*[F.greatest(F.max(c), F.lit(1)).alias(f"m_{c}") for c in weights])
     total = reduce(lambda a, b: a + b, [w * F.col(c) / F.col(f"m_{c}") for c, w in weights.items()])
     return f.crossJoin(F.broadcast(most)).select("page", F.bround(total, 4).alias("risk"))
 
 
-def _hashed(seed: int, *columns: str) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
-
-
 def md5_order(seed: int, column: str) -> Column:
     """A random order that any engine can follow."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(column).cast("string")))
 
 
+def quotas(sizes: dict[str, int], n: int, ratio: float) -> dict[str, tuple[int, int]]:
+    """By stratum, in their order: how many pages are drawn, and how many of these stay after the largest were trimmed."""
+    want = max(1, round(n * ratio))
+    drawn = {s: 1 if s == "cover" else min(k, max(1, round(want * k / n))) for s, k in sizes.items()}
+    left = dict(drawn)
+    while sum(left.values()) > want + 2:
+        open_ = [s for s, k in left.items() if s != "cover" and k > 1]
+        if not open_:
+            break
+        left[max(open_, key=left.get)] -= 1
+    return {s: (drawn[s], left[s]) for s in sizes}
+
+
 def stratified(pages: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Pages of (page, stratum) drawn in proportion: at least one per stratum, the cover always."""
+    """Pages of (page, stratum) drawn in proportion: at least one per stratum, the cover always; of strata with too many,
+    the last pages go."""
     rows = cut(pages)
-    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("size"))
-    n = rows.agg(F.count(F.lit(1)).alias("n"))
-    want = F.greatest(F.lit(1), F.bround(F.col("n") * cfg.sample_ratio, 0))
-    quota = sizes.crossJoin(F.broadcast(n)).select("stratum", F.least(F.col("size"), F.greatest(F.lit(1), F.bround(want * F.col("size") / F.col("n"), 0))).cast("long").alias("quota"), "size")
+    # At most six strata: their sizes are counted out on the driver, first those that come first in the document.
+    known = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("size"), F.min("page").alias("first")).collect()
+    known.sort(key=lambda r: r["first"])
+    if not known:
+        return rows.select("page", "stratum")
+    n = sum(r["size"] for r in known)
+    given = quotas({r["stratum"]: r["size"] for r in known}, n, cfg.sample_ratio)
+    out, at, taken = [], 0, 0
+    for r in sorted(known, key=lambda r: r["stratum"]):
+        draw, stay = given[r["stratum"]]
+        out.append((r["stratum"], draw, stay, at, taken))
+        at, taken = at + r["size"], taken + draw
+    quota = F.broadcast(rows.sparkSession.createDataFrame(out, "stratum string, draw long, stay long, at long, taken long"))
     # Ranks within a stratum: by range, so that a stratum with most pages isn't one task's.
     ranked = global_rank(rows, "r", F.col("stratum"), md5_order(cfg.seed, "page"), F.col("page"))
-    start = quota.withColumn("start", F.coalesce(F.sum("size").over(Window.orderBy("stratum").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranked.join(F.broadcast(start), "stratum").where(F.col("r") - F.col("start") <= F.col("quota")).select("page", "stratum")
+    drawn = cut(ranked.join(quota, "stratum").where(F.col("r") - F.col("at") <= F.col("draw")).select("page", "stratum"))
+    placed = global_rank(drawn, "r", F.col("stratum"), F.col("page"))
+    return placed.join(quota, "stratum").where(F.col("r") - F.col("taken") <= F.col("stay")).select("page", "stratum")
 
 
 def forced(risks: DataFrame, sampled: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -30,9 +30,15 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks cut to lengths from 8 to 67, so that all classes occur."""
-    cut = lines(spark, sf_dir).withColumn("text", F.trim(F.expr("substring(text, 1, cast(8 + (7 * doc + 3 * ln) % 60 as int))")))
-    return placed(cut.where("text <> ''"))
+    """Blocks of 8 to 67 characters, so that all classes occur: lines cut into consecutive pieces, numbered by document.
+
+    No character but blanks at the cuts is left out.
+    """
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "lang", "source", F.split("text", "\n").alias("lines"))
+    pieces = F.expr("""flatten(transform(lines, (l, j) -> transform(sequence(0, (length(l) - 1) div cast(8 + (7 * doc + 3 * j) % 60 as int)),
+        i -> substring(l, cast(1 + i * (8 + (7 * doc + 3 * j) % 60) as int), cast(8 + (7 * doc + 3 * j) % 60 as int)))))""")
+    rows = docs.select("doc", (F.col("doc") + 1).alias("page"), "lang", "source", F.posexplode(pieces).alias("ln", "piece"))
+    return placed(rows.select("doc", "page", F.col("ln").cast("long").alias("ln"), F.trim("piece").alias("text"), "lang", "source").where("text <> ''"))
 
 
 def paired(rows: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def paired(rows: DataFrame) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of cut blocks."""
+    """Pairs of pieces of lines."""
     return paired(frags(spark, sf_dir))
 
 
@@ -57,6 +63,11 @@ def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired(blocks(spark, sf_dir))
 
 
+def layered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole blocks of both layers: odd lines stand in images."""
+    return blocks(spark, sf_dir).withColumn("layer", F.when(F.col("ln") % 2 == 0, "text").otherwise("l2"))
+
+
 def number_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences with numbers, some of them changed or lost in the target."""
     key = F.col("o_orderkey")
@@ -76,24 +87,28 @@ SQL = {
     "blocks": """blocks AS (SELECT *, x0 + 5.6::DOUBLE * length(text) AS x1, y0 + 2 + (7 * doc + 13 * ln) % 20 AS y1 FROM (
   SELECT *, ((37 * ln) % 540)::DOUBLE AS x0, (9 * ln + (5 * doc) % 4)::DOUBLE AS y0, ((31 * doc + 17 * ln) % 100)::DOUBLE / 100::DOUBLE AS conf FROM lines))""",
     "frags": """frags AS (SELECT *, x0 + 5.6::DOUBLE * length(text) AS x1, y0 + 2 + (7 * doc + 13 * ln) % 20 AS y1 FROM (
-  SELECT doc, page, ln, lang, source, trim(text[1:8 + (7 * doc + 3 * ln) % 60], ' ') AS text, ((37 * ln) % 540)::DOUBLE AS x0, (9 * ln + (5 * doc) % 4)::DOUBLE AS y0,
-  ((31 * doc + 17 * ln) % 100)::DOUBLE / 100::DOUBLE AS conf FROM lines) WHERE text <> '')""",
+  SELECT doc, doc + 1 AS page, ln, lang, source, trim(piece, ' ') AS text, ((37 * ln) % 540)::DOUBLE AS x0, (9 * ln + (5 * doc) % 4)::DOUBLE AS y0,
+  ((31 * doc + 17 * ln) % 100)::DOUBLE / 100::DOUBLE AS conf FROM (
+    SELECT doc, lang, source, unnest(ps) AS piece, unnest(range(len(ps))) AS ln FROM (
+      SELECT doc_id AS doc, lang, source, flatten(list_transform(string_split(text, chr(10)), lambda l, j: list_transform(range(greatest(1, (length(l) + 7 + (7 * doc_id + 3 * (j - 1)) % 60) // (8 + (7 * doc_id + 3 * (j - 1)) % 60))),
+        lambda i: l[1 + i * (8 + (7 * doc_id + 3 * (j - 1)) % 60):(i + 1) * (8 + (7 * doc_id + 3 * (j - 1)) % 60)]))) AS ps FROM documents))) WHERE text <> '')""",
     "pairs": """pairs AS (SELECT doc, page, ln, x0, y0, x1, y1, text AS src,
   CASE WHEN (doc + ln) % 11 = 0 THEN '' WHEN (doc + ln) % 7 = 0 THEN text WHEN (doc + ln) % 5 = 0 THEN '未 ' || text ELSE '译 ' || reverse(text) END AS tgt,
   CASE WHEN ln % 2 = 0 THEN 'text' ELSE 'l2' END AS layer, (doc + ln) % 13 = 0 AS passthrough FROM frags)""",
     "block_pairs": """block_pairs AS (SELECT doc, page, ln, x0, y0, x1, y1, text AS src,
   CASE WHEN (doc + ln) % 11 = 0 THEN '' WHEN (doc + ln) % 7 = 0 THEN text WHEN (doc + ln) % 5 = 0 THEN '未 ' || text ELSE '译 ' || reverse(text) END AS tgt,
   CASE WHEN ln % 2 = 0 THEN 'text' ELSE 'l2' END AS layer, (doc + ln) % 13 = 0 AS passthrough FROM blocks)""",
+    "layered": "layered AS (SELECT *, CASE WHEN ln % 2 = 0 THEN 'text' ELSE 'l2' END AS layer FROM blocks)",
     "number_pairs": """number_pairs AS (SELECT o_orderkey AS id, src, CASE WHEN o_orderkey % 7 = 0 THEN 'Order ' || (o_orderkey + 1) || ' total $' || money
   WHEN o_orderkey % 11 = 0 THEN 'Order total $' || money ELSE src END AS tgt
   FROM (SELECT o_orderkey, money, 'Order ' || o_orderkey || ' total $' || money AS src FROM (SELECT o_orderkey, printf('%.2f', o_totalprice) AS money FROM orders)))""",
 }
-NEEDS = {"lines": (), "blocks": ("lines",), "frags": ("lines",), "pairs": ("lines", "frags"), "block_pairs": ("lines", "blocks"), "number_pairs": ()}
+NEEDS = {"lines": (), "blocks": ("lines",), "frags": (), "pairs": ("frags",), "block_pairs": ("lines", "blocks"), "layered": ("lines", "blocks"), "number_pairs": ()}
 
 
-def sql(view: str, body: str) -> str:
-    """Oracle SQL whose first common tables are a view and what it needs; body starts with SELECT or more tables."""
-    tables = ", ".join(SQL[v] for v in (*NEEDS[view], view))
+def sql(views: str, body: str) -> str:
+    """Oracle SQL whose first common tables are views (by blanks) and what they need; body starts with SELECT or more tables."""
+    tables = ", ".join(SQL[v] for v in dict.fromkeys(x for view in views.split() for x in (*NEEDS[view], view)))
     body = body.strip()
     return f"WITH {tables}, {body[1:]}" if body.startswith(",") else f"WITH {tables} {body}"
 

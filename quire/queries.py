@@ -14,7 +14,7 @@ from quire.functions import text as T
 from quire.operators import audit, fold, layout, quality, sampling, scope, snapshots, tracing, worklist
 from quire.operators.spatial import box_join, left_box, prefixed, right_box
 from quire.plans.groups import map_groups
-from quire.plans.views import Query, block_pairs, blocks, frags, lines, number_pairs, pairs, sql, table
+from quire.plans.views import Query, block_pairs, blocks, frags, layered, lines, number_pairs, pairs, sql, table
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -277,7 +277,7 @@ def number_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.numbers(number_pairs(spark, sf_dir))
 
 
-@query("negation_hints", sql("pairs", _STATUS + r" SELECT doc, ln, CASE WHEN e THEN n ELSE 0 END AS n_negations, i AS implicit FROM (SELECT *, n > 0 AND NOT regexp_matches(tgt, '[不没无未非别勿莫免禁止得]') AS e, regexp_matches(src, '(?i)\b(?:except|without|excluding|fail(?:ed|s)? to|lack|absent|free of)\b') AND NOT regexp_matches(tgt, '[不没无未非别勿莫免禁止得除外]') AS i FROM (SELECT *, len(regexp_extract_all(src, '(?i)\b(?:not|no|never|none|neither|nor|cannot|n[o'']t)\b')) AS n FROM st WHERE status = 'translated')) WHERE e OR i"))
+@query("negation_hints", sql("pairs", _STATUS + r" SELECT doc, ln, CASE WHEN e THEN n ELSE 0 END AS n_negations, i AS implicit FROM (SELECT *, n > 0 AND NOT regexp_matches(tgt, '[不没无未非别勿莫免禁止得]') AS e, regexp_matches(plain, '(?i)\b(?:except|without|excluding|fail(?:ed|s)? to|lack|absent|free of)\b') AND NOT regexp_matches(tgt, '[不没无未非别勿莫免禁止得除外]') AS i FROM (SELECT *, len(regexp_extract_all(plain, '(?i)\b(?:not|no|never|none|neither|nor|cannot|n[o'']t)\b')) AS n FROM (SELECT *, regexp_replace(src, '[\x{c0}-\x{24f}]', 'x', 'g') AS plain FROM st) WHERE status = 'translated')) WHERE e OR i"))
 def negation_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.negations(pairs(spark, sf_dir))
 
@@ -303,27 +303,49 @@ def cmap_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.outside_spans(part.select(F.col("p_brand").alias("font"), (F.col("p_partkey") % 5000).alias("gid")).distinct(), spans)
 
 
-_TERMS = "tm AS (SELECT DISTINCT regexp_extract(p_name, '([A-Za-z]+)$', 1) AS en, 'zh-' || regexp_extract(p_name, '([A-Za-z]+)$', 1) AS zh FROM part), tp AS (SELECT p_partkey AS id, p_type || ' ' || p_name AS src, CASE WHEN p_partkey % 5 = 0 THEN 'other' WHEN p_partkey % 3 = 0 THEN p_name ELSE 'zh-' || regexp_extract(p_name, '([A-Za-z]+)$', 1) END AS tgt FROM part), oc AS (SELECT tp.*, en, zh FROM tp JOIN tm ON list_contains(regexp_extract_all(lower(src), '[a-z0-9_]+'), lower(en)))"
+# Terms: last words of names with a form, and whole names (two words), some proposed by brackets, without one.
+_TP = "tp AS (SELECT p_partkey AS id, p_type || ' ' || p_name AS src, CASE WHEN p_partkey % 5 = 0 THEN 'other' WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 4 = 0 THEN '名（' || p_name || '）' ELSE 'zh-' || regexp_extract(p_name, '([A-Za-z]+)$', 1) END AS tgt FROM part)"
+_TERMS = _TP + ", ts AS (SELECT *, lower(regexp_replace(src, '\\s+', '', 'g')) <> lower(regexp_replace(tgt, '\\s+', '', 'g')) OR regexp_matches(tgt, '[\\x{3400}-\\x{9fff}]') AS done FROM tp), tm AS (SELECT DISTINCT regexp_extract(p_name, '([A-Za-z]+)$', 1) AS en, 'zh-' || regexp_extract(p_name, '([A-Za-z]+)$', 1) AS zh, 'term' AS verdict FROM part UNION ALL SELECT DISTINCT p_name, CASE WHEN length(p_name) % 3 = 0 THEN NULL ELSE 'zz' END, CASE WHEN length(p_name) % 2 = 0 THEN 'paren' ELSE 'term' END FROM part), oc AS (SELECT ts.*, en, zh, verdict FROM ts JOIN tm ON done AND regexp_matches(lower(src), '(^|[^a-z0-9_])' || lower(en) || '($|[^a-z0-9_])'))"
 
 
 def _terms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    part, last = table(spark, sf_dir, "part"), F.regexp_extract("p_name", "([A-Za-z]+)$", 1)
+    part, name, key = table(spark, sf_dir, "part"), F.col("p_name"), F.col("p_partkey")
+    last = F.regexp_extract("p_name", "([A-Za-z]+)$", 1)
     zh = F.concat(F.lit("zh-"), last)
-    key = F.col("p_partkey")
-    rows = part.select(key.alias("id"), F.concat_ws(" ", "p_type", "p_name").alias("src"), F.when(key % 5 == 0, "other").when(key % 3 == 0, F.col("p_name")).otherwise(zh).alias("tgt"))
-    return rows, part.select(last.alias("en"), zh.alias("zh")).distinct()
+    tgt = F.when(key % 5 == 0, "other").when(key % 3 == 0, name).when(key % 4 == 0, F.concat(F.lit("名（"), name, F.lit("）"))).otherwise(zh)
+    rows = part.select(key.alias("id"), F.concat_ws(" ", "p_type", name).alias("src"), tgt.alias("tgt"), F.lit(False).alias("passthrough"))
+    whole = part.select(name.alias("en"), F.when(F.length(name) % 3 != 0, "zz").alias("zh"), F.when(F.length(name) % 2 == 0, "paren").otherwise("term").alias("verdict")).distinct()
+    return audit.with_status(rows), part.select(last.alias("en"), zh.alias("zh"), F.lit("term").alias("verdict")).distinct().unionByName(whole)
 
 
-@query("glossary_violations", f"WITH {_TERMS} SELECT en, count(*) AS n, count(*) FILTER (WHERE NOT contains(tgt, zh) AND NOT contains(lower(tgt), lower(en))) AS n_violations FROM oc GROUP BY en")
+@query("glossary_violations", f"WITH {_TERMS} SELECT en, count(*) AS n, count(*) FILTER (WHERE NOT contains(tgt, zh) AND NOT contains(lower(tgt), lower(en))) AS n_violations FROM oc WHERE zh IS NOT NULL GROUP BY en")
 def glossary_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.glossary_violations(*_terms(spark, sf_dir))
 
 
-@query("glossary_freeze", f"WITH {_TERMS} SELECT en, n_targets, keep, NOT keep AND n_targets > 1 AS needs_ruling FROM (SELECT en, count(DISTINCT tgt) AS n_targets, bool_and(contains(lower(tgt), lower(en))) AS keep FROM oc GROUP BY en)")
+_FREEZE = f"WITH {_TERMS}, pt AS (SELECT en, coalesce(zh, '') AS given, verdict, count(DISTINCT tgt) AS n_targets, min(tgt) AS one, bool_and(contains(lower(tgt), lower(en))) AS held FROM oc GROUP BY 1, 2, 3), fz AS (SELECT en, CASE WHEN given = '' AND n_targets = 1 AND verdict = 'paren' AND trim(regexp_extract(one, '^([^(（]*)', 1)) <> en THEN trim(regexp_extract(one, '^([^(（]*)', 1)) ELSE given END AS zh, n_targets, verdict, held FROM pt), fr AS (SELECT en, zh, n_targets, CASE WHEN zh = '' AND held THEN true ELSE verdict = 'kept' END AS keep, zh = '' AND NOT held AS needs_ruling FROM fz)"
+
+
+@query("glossary_freeze", _FREEZE + " SELECT * FROM fr")
 def glossary_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.glossary_freeze(*_terms(spark, sf_dir))
 
 
+@query("glossary_frozen", _FREEZE + " SELECT count(*) FILTER (WHERE NOT needs_ruling) AS n_settled, count(*) FILTER (WHERE needs_ruling) AS n_open, count(*) FILTER (WHERE needs_ruling) = 0 AS frozen FROM fr")
+def glossary_frozen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the glossary may be frozen."""
+    return audit.frozen(audit.glossary_freeze(*_terms(spark, sf_dir)))
+
+
+@query("glossary_consistent", "WITH g AS (SELECT lower(trim(p_name)) AS key, min((p_name, 'zh-' || p_brand)) AS f FROM part WHERE p_partkey % 3 = 0 GROUP BY 1), p AS (SELECT lower(trim(p_name)) AS key, max((length(p_brand || p_size), p_brand || p_size, p_name)) AS m FROM part WHERE p_partkey % 7 <> 0 GROUP BY 1) SELECT coalesce(f[1], m[3]) AS en, coalesce(f[2], m[2]) AS zh, f IS NOT NULL AS fixed, coalesce(f[2] <> m[2], false) AS differs FROM p FULL JOIN g ON p.key = g.key")
+def glossary_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One form per term: the frozen one, else the longest of those in use."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    proposed = F.when(key % 7 == 0, " ").otherwise(F.concat("p_brand", F.col("p_size").cast("string")))
+    fixed = part.where(key % 3 == 0).select(F.col("p_name").alias("en"), F.concat(F.lit("zh-"), "p_brand").alias("zh"))
+    return audit.consistent(fixed, part.select(F.col("p_name").alias("en"), proposed.alias("zh")))
+
+
 @query("glossary_proposal", f"WITH pp AS ({ORACLE['propernoun_policy']}), pe AS ({ORACLE['paren_evidence']}), fi AS (SELECT term AS en FROM pp WHERE policy <> 'kept') SELECT en, 'term' AS origin FROM fi UNION ALL SELECT term, 'brackets' FROM pe WHERE lower(term) NOT IN (SELECT lower(en) FROM fi)")
 def glossary_proposal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.glossary_proposal(propernoun_policy(spark, sf_dir), paren_evidence(spark, sf_dir))
@@ -331,62 +353,64 @@ def glossary_proposal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Samples
 
-_FEATURES = r", f AS (SELECT page, sum(length(text))::BIGINT AS chars, count(*) FILTER (WHERE ln % 2 = 1) AS l2, count(*) FILTER (WHERE y1 - y0 < 5) AS small, coalesce(max(CASE WHEN length(text) >= 2 THEN y1 - y0 END), 0.0)::DOUBLE AS title, sum(len(regexp_extract_all(text, '[0-9]')))::BIGINT AS digits, sum(len(regexp_extract_all(regexp_replace(text, '[\x{c0}-\x{24f}]', 'x', 'g'), '(?i)\b(?:not|no|never|none|neither|nor|cannot|without|except|lack|fail(?:ed|s)? to)\b')))::BIGINT AS negations FROM blocks GROUP BY page)"
+_FEATURES = r", im AS (SELECT page, count(*) AS images, round_even(sum((x1 - x0) * (y1 - y0)) / 480000::DOUBLE, 3) AS image_share FROM layered WHERE ln % 5 = 3 GROUP BY page), f0 AS (SELECT page, (sum(CASE WHEN layer = 'text' THEN len(regexp_extract_all(text, '[\x{3400}-\x{9fff}]')) ELSE 0 END) + floor(sum(CASE WHEN layer = 'text' THEN length(text) ELSE 0 END) / 2))::BIGINT AS chars, count(*) FILTER (WHERE layer = 'l2') AS l2, count(*) FILTER (WHERE layer = 'l2' AND y1 - y0 < 5) AS small, coalesce(max(CASE WHEN layer = 'text' AND length(text) >= 2 THEN y1 - y0 END), 0.0)::DOUBLE AS title, sum(len(regexp_extract_all(text, '[0-9]')))::BIGINT AS digits, sum(len(regexp_extract_all(regexp_replace(text, '[\x{c0}-\x{24f}]', 'x', 'g'), '(?i)\b(?:not|no|never|none|neither|nor|cannot|without|except|lack|fail(?:ed|s)? to)\b')))::BIGINT AS negations FROM layered GROUP BY page), f AS (SELECT f0.*, coalesce(images, 0)::BIGINT AS images, coalesce(image_share, 0)::DOUBLE AS image_share FROM f0 LEFT JOIN im ON f0.page = im.page)"
 
 
-@query("page_features", sql("blocks", _FEATURES + " SELECT * FROM f"))
+@query("page_features", sql("layered", _FEATURES + " SELECT * FROM f"))
 def page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.page_features(blocks(spark, sf_dir))
+    b = layered(spark, sf_dir)
+    images = b.where("ln % 5 = 3").select("page", ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("area"), F.lit(480000.0).alias("page_area"))
+    return sampling.page_features(b, images)
 
 
 def _q(column: str, p: float, where: str = "true") -> str:
     return f"(SELECT coalesce(list_sort(list({column}))[least(count(*) - 1, floor(count(*) * {p}::DOUBLE))::BIGINT + 1], 0) FROM f WHERE {where})"
 
 
-_STRATA = _FEATURES + f", s AS (SELECT page, CASE WHEN page = 1 THEN 'cover' WHEN title >= {_q('title', 0.9)} THEN 'chapter' WHEN l2 >= {_q('l2', 0.75)} THEN 'dense' WHEN chars <= {_q('chars', 0.25)} AND l2 > 0 THEN 'chart' WHEN chars >= {_q('chars', 0.6)} AND l2 <= {_q('l2', 0.25, 'l2 > 0')} THEN 'text' ELSE 'other' END AS stratum FROM f)"
+_STRATA = _FEATURES + f", s AS (SELECT page, CASE WHEN page = 1 THEN 'cover' WHEN title >= {_q('title', 0.9, 'title > 0')} AND {_q('title', 0.9, 'title > 0')} > 0 THEN 'chapter' WHEN l2 >= {_q('l2', 0.75)} THEN 'dense' WHEN chars <= {_q('chars', 0.25)} AND l2 > 0 THEN 'chart' WHEN chars >= {_q('chars', 0.6)} AND l2 <= {_q('l2', 0.25, 'l2 > 0')} THEN 'text' ELSE 'other' END AS stratum FROM f)"
 
 
-@query("page_strata", sql("blocks", _STRATA + " SELECT * FROM s"))
+@query("page_strata", sql("layered", _STRATA + " SELECT * FROM s"))
 def page_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.strata(page_features(spark, sf_dir))
 
 
-_RISK = _FEATURES + ", k AS (SELECT page, round_even(1.0::DOUBLE * digits / greatest((SELECT max(digits) FROM f), 1) + 2.0::DOUBLE * negations / greatest((SELECT max(negations) FROM f), 1) + 0.5::DOUBLE * l2 / greatest((SELECT max(l2) FROM f), 1) + 0.5::DOUBLE * small / greatest((SELECT max(small) FROM f), 1), 4) AS risk FROM f)"
+# Ratios outside of the 5th and 95th of a hundred are anomalies: the fifth part of the risk.
+_RISK = _STATUS.replace("FROM pairs", "FROM block_pairs") + ", q AS (SELECT page, length(tgt)::DOUBLE / length(src) AS ratio FROM st WHERE status IN ('translated', 'same') AND length(src) >= 20 AND length(tgt) >= 8), qs AS (SELECT list_sort(list(ratio)) AS l, count(*) AS n FROM q), an AS (SELECT page, count(*) AS anomalies FROM q, qs WHERE ratio < l[least(n - 1, floor(n * 0.05::DOUBLE))::BIGINT + 1] OR ratio > l[least(n - 1, floor(n * 0.95::DOUBLE))::BIGINT + 1] GROUP BY page), fa AS (SELECT f.*, coalesce(anomalies, 0) AS anomalies FROM f LEFT JOIN an ON f.page = an.page), k AS (SELECT page, round_even(" + " + ".join(f"{w}::DOUBLE * {c} / greatest((SELECT max({c}) FROM fa), 1)" for c, w in (("digits", 1.0), ("negations", 2.0), ("anomalies", 2.0), ("l2", 0.5), ("small", 0.5))) + ", 4) AS risk FROM fa)"
 
 
-@query("risk_score", sql("blocks", _RISK + " SELECT * FROM k"))
+@query("risk_score", sql("block_pairs layered", _FEATURES + _RISK + " SELECT * FROM k"))
 def risk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.risk(page_features(spark, sf_dir))
+    return sampling.risk(page_features(spark, sf_dir), sampling.ratio_anomalies(audit.with_status(block_pairs(spark, sf_dir))))
+
+
+# Quotas as lists over the strata in order of their first page; the largest gives up its last page until few enough are left.
+_DRAWN = """, qa AS (SELECT stratum, count(*) AS size, min(page) AS first, (SELECT count(*) FROM s) AS n FROM s GROUP BY stratum),
+qb AS (SELECT *, greatest(1, round_even(n * 0.1::DOUBLE, 0)) AS want FROM qa),
+qc AS (SELECT *, CASE WHEN stratum = 'cover' THEN 1 ELSE least(size, greatest(1, round_even(want * size / n, 0))) END::BIGINT AS draw FROM qb),
+qd AS (SELECT list(stratum ORDER BY first) AS names, list(draw ORDER BY first) AS stay, any_value(want)::BIGINT AS want FROM qc),
+qe AS (SELECT names, want, stay, 0 AS step FROM qd UNION ALL SELECT names, want, list_transform(range(1, len(stay) + 1), lambda i: CASE WHEN i = list_position(list_transform(range(1, len(stay) + 1), lambda j: CASE WHEN names[j] = 'cover' OR stay[j] <= 1 THEN -1 ELSE stay[j] END), list_max(list_transform(range(1, len(stay) + 1), lambda j: CASE WHEN names[j] = 'cover' OR stay[j] <= 1 THEN -1 ELSE stay[j] END))) THEN stay[i] - 1 ELSE stay[i] END), step + 1
+  FROM qe WHERE list_sum(stay) > want + 2 AND list_max(list_transform(range(1, len(stay) + 1), lambda j: CASE WHEN names[j] = 'cover' OR stay[j] <= 1 THEN -1 ELSE stay[j] END)) > 0),
+qf AS (SELECT unnest(names) AS stratum, unnest(stay) AS stay FROM (SELECT * FROM qe ORDER BY step DESC LIMIT 1)),
+qg AS (SELECT page, stratum, row_number() OVER (PARTITION BY stratum ORDER BY md5('11:' || page), page) AS r FROM s),
+qh AS (SELECT page, qg.stratum, row_number() OVER (PARTITION BY qg.stratum ORDER BY page) AS k FROM qg JOIN qc ON qg.stratum = qc.stratum WHERE r <= draw),
+d AS (SELECT page, qh.stratum FROM qh JOIN qf ON qh.stratum = qf.stratum WHERE k <= stay)"""
 
 
-_DRAWN = ", d AS (SELECT page, stratum FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('11:' || page), page) AS r, count(*) OVER (PARTITION BY stratum) AS size, count(*) OVER () AS n FROM s) WHERE r <= least(size, greatest(1, round_even(greatest(1, round_even(n * 0.1::DOUBLE, 0)) * size / n, 0))))"
+def _recursive(query: str) -> str:
+    return query.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-@query("stratified_sample", sql("blocks", _STRATA + _DRAWN + " SELECT * FROM d"))
+@query("stratified_sample", _recursive(sql("layered", _STRATA + _DRAWN + " SELECT * FROM d")))
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.stratified(page_strata(spark, sf_dir))
 
 
-@query("forced_pool", sql("blocks", _STRATA + _DRAWN + _RISK.removeprefix(_FEATURES) + " SELECT page, risk FROM k WHERE page NOT IN (SELECT page FROM d) ORDER BY risk DESC, page LIMIT (SELECT ceil(count(*) * 0.2::DOUBLE)::BIGINT FROM f)"))
+@query("forced_pool", _recursive(sql("block_pairs layered", _STRATA + _DRAWN + _RISK + " SELECT page, risk FROM k WHERE page NOT IN (SELECT page FROM d) ORDER BY risk DESC, page LIMIT (SELECT ceil(count(*) * 0.2::DOUBLE)::BIGINT FROM f)")))
 def forced_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.forced(risk_score(spark, sf_dir), stratified_sample(spark, sf_dir))
 
 
-_BLOCK_STATUS = _STATUS.replace("FROM pairs", "FROM block_pairs")
-_RATIO_RISK = _BLOCK_STATUS + _FEATURES + ", q AS (SELECT page, length(tgt)::DOUBLE / length(src) AS ratio FROM st WHERE status IN ('translated', 'same') AND length(src) >= 20 AND length(tgt) >= 8), qs AS (SELECT list_sort(list(ratio)) AS l, count(*) AS n FROM q), an AS (SELECT page, count(*) AS anomalies FROM q, qs WHERE ratio < l[least(n - 1, floor(n * 0.05::DOUBLE))::BIGINT + 1] OR ratio > l[least(n - 1, floor(n * 0.95::DOUBLE))::BIGINT + 1] GROUP BY page), fa AS (SELECT f.*, coalesce(anomalies, 0) AS anomalies FROM f LEFT JOIN an ON f.page = an.page)" + _RISK.removeprefix(_FEATURES).replace("FROM f", "FROM fa").replace(" + 0.5::DOUBLE * l2", " + 2.0::DOUBLE * anomalies / greatest((SELECT max(anomalies) FROM fa), 1) + 0.5::DOUBLE * l2")
-
-
-@query("risk_score_ratios", sql("block_pairs", _RATIO_RISK + " SELECT * FROM k"))
-def risk_score_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Risk of pages with all five parts."""
-    return sampling.risk(page_features(spark, sf_dir), sampling.ratio_anomalies(audit.with_status(block_pairs(spark, sf_dir))))
-
-
-@query("forced_pool_ratios", sql("block_pairs", _RATIO_RISK + _STRATA.removeprefix(_FEATURES) + _DRAWN + " SELECT page, risk FROM k WHERE page NOT IN (SELECT page FROM d) ORDER BY risk DESC, page LIMIT (SELECT ceil(count(*) * 0.2::DOUBLE)::BIGINT FROM f)"))
-def forced_pool_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.forced(risk_score_ratios(spark, sf_dir), stratified_sample(spark, sf_dir))
-
-
 @query("equidistant_sample", sql("frags", ", p AS (SELECT page, round_even(avg(conf::DECIMAL(10, 4)), 6) AS conf FROM frags GROUP BY page), o AS (SELECT *, row_number() OVER (ORDER BY conf, page) AS r, greatest(1, count(*) OVER () // 8) AS step FROM p) SELECT page, conf FROM o WHERE (r - 1) % step = 0 AND (r - 1) // step < 8"))
 def equidistant_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = frags(spark, sf_dir).groupBy("page").agg(F.bround(F.avg(F.col("conf").cast("decimal(10,4)")).cast("double"), 6).alias("conf"))
@@ -398,9 +422,10 @@ def class_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.by_class(scope.classified(frags(spark, sf_dir)))
 
 
-@query("inconclusive_gate", sql("pairs", r"SELECT sum(len(regexp_extract_all(tgt, '[A-Za-z0-9]+')) + len(regexp_extract_all(tgt, '[\x{3400}-\x{9fff}]')))::BIGINT AS n_words, sum(len(regexp_extract_all(tgt, '[A-Za-z0-9]+')) + len(regexp_extract_all(tgt, '[\x{3400}-\x{9fff}]'))) < 1000 AS inconclusive FROM pairs WHERE page % 10 = 0"))
+@query("inconclusive_gate", _recursive(sql("pairs layered", _STRATA + _DRAWN + r" SELECT sum(len(regexp_extract_all(tgt, '[A-Za-z0-9]+')) + len(regexp_extract_all(tgt, '[\x{3400}-\x{9fff}]')))::BIGINT AS n_words, sum(len(regexp_extract_all(tgt, '[A-Za-z0-9]+')) + len(regexp_extract_all(tgt, '[\x{3400}-\x{9fff}]'))) < 1000 AS inconclusive FROM pairs WHERE page IN (SELECT page FROM d)")))
 def inconclusive_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sampled_words(pairs(spark, sf_dir).where("page % 10 = 0").select(F.col("tgt").alias("text")))
+    drawn = pairs(spark, sf_dir).join(stratified_sample(spark, sf_dir).select("page"), "page", "left_semi")
+    return sampling.sampled_words(drawn.select(F.col("tgt").alias("text")))
 
 
 @query("long_sentences", sql("pairs", _STATUS + " SELECT doc, ln, page FROM st WHERE status IN ('translated', 'same') AND length(tgt) >= 60 ORDER BY md5('11:' || doc || ':' || ln) LIMIT 10"))
@@ -413,31 +438,34 @@ def long_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ENGLISH = r"length(text) >= 3 AND regexp_full_match(text, '[\x20-\x7e]*') AND conf >= 0.5 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 3 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::DOUBLE / length(text) >= 0.6 AND regexp_matches(text, '[A-Za-z]{2,}')"
 
 
-@query("residue_classes", sql("frags", f""", e AS (SELECT *, {NORM_WS.format('text')} AS norm FROM frags WHERE ln % 2 = 0 AND {_ENGLISH}),
+_RESIDUE = f""", e AS (SELECT *, {NORM_WS.format('text')} AS norm FROM frags WHERE ln % 2 = 0 AND {_ENGLISH}),
 keep AS (SELECT DISTINCT {NORM_WS.format('text')} AS norm FROM frags WHERE doc % 10 = 0),
-lw AS (SELECT DISTINCT page, unnest(regexp_extract_all(lower(text), '[A-Za-z]{{2,}}')) AS word FROM frags WHERE ln % 4 = 1),
-a AS (SELECT page, ln, unnest(list_distinct(list_filter(regexp_extract_all(lower(text), '[A-Za-z]{{2,}}'), lambda w: length(w) >= 3))) AS word FROM e),
-il AS (SELECT a.page, a.ln, bool_and(lw.word IS NOT NULL) AS in_layer FROM a LEFT JOIN lw ON a.page = lw.page AND a.word = lw.word GROUP BY 1, 2),
-p AS (SELECT * FROM frags WHERE ln % 4 = 3), sc AS (SELECT DISTINCT page, {NORM_WS.format('text')} AS norm FROM frags WHERE ln % 6 = 0)
-SELECT page, ln, text, CASE WHEN norm IN (SELECT norm FROM keep) THEN 'keep' WHEN (SELECT in_layer FROM il WHERE il.page = e.page AND il.ln = e.ln) THEN 'textlayer'
-WHEN EXISTS (SELECT 1 FROM p WHERE p.page = e.page AND {_overlap('e', 'p')} >= 0.5) THEN 'covered'
-WHEN length(norm) >= 6 AND EXISTS (SELECT 1 FROM sc WHERE sc.page = e.page AND sc.norm = e.norm) THEN 'filtered' ELSE 'unseen' END AS cls FROM e"""))
-def residue_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+lw AS (SELECT page, list_distinct(flatten(list(regexp_extract_all(lower(text), '[A-Za-z]{{2,}}')))) AS words FROM frags WHERE ln % 40 = 1 GROUP BY page),
+p AS (SELECT * FROM frags WHERE ln % 4 = 3), sc AS (SELECT page, list(DISTINCT {NORM_WS.format('text')}) AS norms FROM frags WHERE ln % 6 = 5 AND length({NORM_WS.format('text')}) >= 6 GROUP BY page),
+re AS (SELECT e.page, e.ln, text, y1 - y0 AS h, CASE WHEN norm IN (SELECT norm FROM keep) OR regexp_matches(text, '(?i)^AI\s*[6OG&]\s*Z?\s*GROWTH$') THEN 'keep'
+  WHEN list_has_any(list_filter(regexp_extract_all(lower(text), '[A-Za-z]{{2,}}'), lambda w: length(w) >= 3), coalesce(words, [])) THEN 'textlayer'
+  WHEN EXISTS (SELECT 1 FROM p WHERE p.page = e.page AND {_overlap('e', 'p')} >= 0.5) THEN 'covered'
+  WHEN len(list_filter(coalesce(norms, []), lambda s: contains(s, norm) OR contains(norm, s))) > 0 THEN 'filtered' ELSE 'unseen' END AS cls
+  FROM e LEFT JOIN lw ON lw.page = e.page LEFT JOIN sc ON sc.page = e.page)"""
+
+
+def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = frags(spark, sf_dir)
-    layer = f.where("ln % 4 = 1").select("page", F.explode(T.words(F.lower("text"))).alias("word"))
-    return tracing.residue(f.where("ln % 2 = 0"), f.where("doc % 10 = 0"), layer, f.where("ln % 4 = 3"), f.where("ln % 6 = 0"), equal_only=True)
+    layer = f.where("ln % 40 = 1").select("page", F.explode(T.words(F.lower("text"))).alias("word"))
+    return tracing.residue(f.where("ln % 2 = 0"), f.where("doc % 10 = 0"), layer, f.where("ln % 4 = 3"), f.where("ln % 6 = 5"))
 
 
-_CONTAINED = ORACLE["residue_classes"].replace("FROM frags", "FROM blocks").replace("bool_and(", "bool_or(").replace("WHEN length(norm) >= 6 AND EXISTS (SELECT 1 FROM sc WHERE sc.page = e.page AND sc.norm = e.norm)", "WHEN EXISTS (SELECT 1 FROM sc WHERE sc.page = e.page AND length(sc.norm) >= 6 AND (contains(sc.norm, e.norm) OR contains(e.norm, sc.norm)))")
-_CONTAINED = sql("blocks", _CONTAINED.removeprefix(sql("frags", ", ").rstrip(", ")))
+@query("residue_classes", sql("frags", _RESIDUE + " SELECT page, ln, text, cls FROM re"))
+def residue_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product's blocks are those of even numbers; text layer, plan and source are other blocks of the page."""
+    return _residue(spark, sf_dir)
 
 
-@query("residue_classes_contained", _CONTAINED)
-def residue_classes_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Residue in whole lines; any known word makes the text layer, and source and product may contain each other."""
-    b = blocks(spark, sf_dir)
-    layer = b.where("ln % 4 = 1").select("page", F.explode(T.words(F.lower("text"))).alias("word"))
-    return tracing.residue(b.where("ln % 2 = 0"), b.where("doc % 10 = 0"), layer, b.where("ln % 4 = 3"), b.where("ln % 6 = 0"))
+@query("residue_targets", sql("frags", _RESIDUE + " SELECT page, ln, h, cls, row_number() OVER (ORDER BY h DESC, page, ln) AS rank FROM re WHERE cls = 'unseen' AND h >= 4"))
+def residue_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residue that the source's reading doesn't hold, the highest first."""
+    found = _residue(spark, sf_dir).join(frags(spark, sf_dir).select("page", "ln", (F.col("y1") - F.col("y0")).alias("h")), ["page", "ln"])
+    return tracing.residue_targets(found.select("page", "ln", "h", "cls"))
 
 
 @query("residue_dedup")
@@ -459,14 +487,13 @@ def residue_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracing.verified(f.select((F.col("doc") * 100000 + F.col("ln")).alias("id"), F.col("text").alias("src"), prod.alias("prod")))
 
 
-@query("backtrans_queue", sql("pairs", _STATUS + " SELECT 'b' || lpad((row_number() OVER (ORDER BY doc, ln) - 1)::VARCHAR, 4, '0') AS gid, doc, ln FROM (SELECT doc, ln FROM st WHERE status IN ('translated', 'same') AND length(tgt) >= 24 AND page % 10 = 0 ORDER BY doc, ln LIMIT 120)"))
+@query("backtrans_queue", _recursive(sql("pairs layered", _STRATA + _DRAWN + _STATUS + " SELECT 'b' || lpad((row_number() OVER (ORDER BY doc, ln) - 1)::VARCHAR, 4, '0') AS gid, doc, ln FROM (SELECT doc, ln FROM st WHERE status IN ('translated', 'same') AND length(tgt) >= 24 AND page IN (SELECT page FROM d) ORDER BY doc, ln LIMIT 120)")))
 def backtrans_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = audit.with_status(pairs(spark, sf_dir))
-    return tracing.drift_queue(p, p.where("page % 10 = 0").select("page").distinct())
+    return tracing.drift_queue(audit.with_status(pairs(spark, sf_dir)), stratified_sample(spark, sf_dir))
 
 
 _CA, _CB = _content("src", STOP_LONG, 2), _content("back", STOP_LONG, 2)
-_POL = r"(regexp_matches({0}, '(?i)\b(?:not|non|no|never|none|nothing|neither|nor|without|cannot)\b|[A-Za-z]+n[''’]t\b|[不没无未非别勿莫]'))"
+_POL = r"(regexp_matches(regexp_replace({0}, '[\x{{c0}}-\x{{24f}}]', 'x', 'g'), '(?i)\b(?:not|non|no|never|none|nothing|neither|nor|without|cannot)\b|[A-Za-z]+n[''’]t\b|[不没无未非别勿莫]'))"
 _WORDS_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in NUMBER_WORDS.items()) + "}"
 
 
@@ -517,7 +544,7 @@ def units_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("align_single")
 def align_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.aligned(units_extract(spark, sf_dir))
+    return layout.aligned(units_extract(spark, sf_dir), table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("page"), F.lit(612.0).alias("width")))
 
 
 @query("room_below", sql("frags", "SELECT page, ln, round_even(least(most, coalesce(lim, most)), 4) AS bottom FROM (SELECT l.page, l.ln, l.y1 + 3 * (l.y1 - l.y0) AS most, (SELECT min(r.y0 - 1.5::DOUBLE) FROM frags r WHERE r.page = l.page AND r.ln <> l.ln AND least(l.x1, r.x1) - greatest(l.x0, r.x0) > -2 AND r.y0 >= l.y1 - 1 AND r.y0 <= l.y1 + 3 * (l.y1 - l.y0) + 1.5::DOUBLE) AS lim FROM frags l)"))

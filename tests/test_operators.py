@@ -169,12 +169,42 @@ def test_units_keep_columns_apart():
     assert [u[12] for u in got] == [2, 2, 1, 1]
 
 
+def unit(i, x0, x1, y0, lines=(), align="left", size=10.0, text="Some words", width=600.0):
+    spans = [{"x0": float(a), "x1": float(b), "y0": 0.0, "y1": 0.0} for a, b in lines] or [{"x0": float(x0), "x1": float(x1), "y0": 0.0, "y1": 0.0}]
+    return {"doc": 1, "page": 1, "unit": i, "x0": float(x0), "x1": float(x1), "y0": float(y0), "y1": float(y0 + 10), "nlines": len(spans), "lines": spans, "align": align, "size": size, "text": text, "width": width}
+
+
 def test_single_lines_follow_anchors_and_pages():
-    unit = lambda i, x0, x1, y0, n, align="left", size=10.0: {"doc": 1, "page": 1, "unit": i, "x0": float(x0), "x1": float(x1), "y0": float(y0), "y1": float(y0 + 10), "nlines": n, "align": align, "size": size}
-    got = {r[2]: (r[3], r[4]) for r in layout.page_align([unit(0, 100, 200, 0, 3, "center"), unit(1, 120, 180, 40, 1), unit(2, 400, 600, 80, 1)])}
-    assert got == {0: ("center", "multi"), 1: ("center", "anchor"), 2: ("left", "default")}
-    got = {r[2]: (r[3], r[4]) for r in layout.page_align([unit(0, 100, 500, 0, 1), unit(1, 500, 600, 80, 1)])}
-    assert got == {0: ("center", "page"), 1: ("right", "page")}
+    of = lambda *rows: {r[2]: (r[3], r[4]) for r in layout.page_align(list(rows))}
+    centered = [(100, 200), (120, 180), (130, 170)]
+    assert of(unit(0, 100, 200, 0, centered), unit(1, 122, 178, 40), unit(2, 400, 600, 80)) == {0: ("center", "multi"), 1: ("center", "anchor"), 2: ("left", "default")}
+    # without units of several lines the page decides, by its own width and not that of its units
+    assert of(unit(0, 100, 500, 0), unit(1, 500, 600, 80)) == {0: ("center", "page"), 1: ("right", "page")}
+    assert of(unit(0, 100, 500, 0, width=900.0), unit(1, 0, 890, 80, width=900.0)) == {0: ("left", "default"), 1: ("right", "page")}
+    assert of(unit(0, 100, 500, 0, width=None)) == {0: ("left", "default")}
+    # the middle of the neighbours of a row, and the size of a centred one of it
+    assert of(unit(0, 0, 50, 0), unit(1, 100, 160, 2), unit(2, 210, 300, 1), unit(3, 400, 450, 3, align="left"))[1] == ("center", "row-mid")
+    assert of(unit(0, 0, 50, 0, text="12"), unit(1, 60, 90, 300))[0] == ("left", "number")
+    # neighbours that overlap leave no room for a middle
+    assert of(unit(0, 0, 101, 0), unit(1, 100, 101, 2), unit(2, 100, 300, 1))[1][1] != "row-mid"
+
+
+def test_units_without_letters_are_passed_through():
+    rows = [line(0, 0, 0, "12 %"), line(1, 300, 5, "a 1")]
+    assert [u[14] for u in layout.page_units(rows)] == [True, False]
+
+
+def test_quotas_are_trimmed():
+    sizes = {"cover": 1, "chart": 6, "text": 6, "dense": 6, "chapter": 6, "other": 6}
+    got = sampling.quotas(sizes, 31, 0.1)
+    assert got == {"cover": (1, 1)} | {s: (1, 1) for s in list(sizes)[1:]}  # nothing above one is left to trim
+    sizes = {"cover": 1, "text": 25, "dense": 25, "chart": 25, "other": 15}
+    got = sampling.quotas(sizes, 91, 0.1)
+    assert sum(k for k, _ in got.values()) == 9 and sum(k for _, k in got.values()) == 9
+    got = sampling.quotas({"cover": 1, "a": 15, "b": 15, "c": 15, "d": 15, "e": 15}, 76, 0.035)
+    assert {s: k for s, (k, _) in got.items()} == {"cover": 1, "a": 1, "b": 1, "c": 1, "d": 1, "e": 1}
+    got = sampling.quotas({"cover": 1, "a": 25, "b": 25, "c": 25, "d": 24}, 100, 0.06)
+    assert got["a"] == (2, 2) and sum(k for _, k in got.values()) <= 8 < sum(k for k, _ in got.values()) or got == {"cover": (1, 1), "a": (2, 1), "b": (2, 2), "c": (2, 2), "d": (1, 1)}
 
 
 def test_ssim_and_errors():

@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quire.operators import audit, sampling, tracing
@@ -29,7 +30,18 @@ def folders(spark, tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", ["units_extract", "plan_build", "repeat_variants", "residue_dedup", "rect_iou_match", "qc_best_reading", "qc_duplicate_readings"])
+def test_pieces_hold_all_characters(spark):
+    """Pieces of lines leave out nothing but blanks."""
+    from quire.plans.views import frags, lines
+
+    sf = "/root/testdata/sf0.001"
+    bare = F.sum(F.length(F.regexp_replace("text", " ", ""))).alias("n")
+    whole, cut = (df.agg(bare, F.max(F.length("text")).alias("longest")).first() for df in (lines(spark, sf), frags(spark, sf)))
+    assert whole["n"] == cut["n"] and cut["longest"] <= 67 < whole["longest"]
+    assert frags(spark, sf).groupBy("page", "ln").count().where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["units_extract", "plan_build", "repeat_variants", "residue_dedup", "rect_iou_match", "qc_best_reading", "qc_duplicate_readings", "scope_summary", "pair_status", "residue_classes", "room_below", "coverage_by_layer"])
 def test_ends_of_lines_count(spark, folders, name):
     short, long = (sorted(map(repr, QUERIES[name](spark, d).collect())) for d in folders)
     assert short != long
@@ -63,14 +75,23 @@ def test_residue_contains_or_is_contained(spark):
 
 def test_glossary_terms_of_many_words(spark):
     pairs = spark.createDataFrame([
-        (1, "The Northern Harbour Group and its model", "译名 模型"),
-        (2, "the northern harbour group", "北港集团"),
-        (3, "the northern harbour groups, north", "其他"),
-        (4, "AT&T and U.S.A with state-of-the-art", "其他"),
-        (5, "état-major et c++ \\E end", "其他"),
-    ], "id long, src string, tgt string")
-    terms = spark.createDataFrame([("Northern Harbour Group", "北港集团"), ("AT&T", "甲"), ("state-of-the-art", "乙"), ("U.S.A", "丙"), ("model", "模型"), ("tat", "丁"), ("état-major", "戊"), ("art AT", "己")], "en string, zh string")
+        (0, "The Northern Harbour Group", "unchanged", "unchanged"),
+        (1, "The Northern Harbour Group and its model", "译名 模型", "translated"),
+        (2, "the northern harbour group", "北港集团", "same"),
+        (3, "the northern harbour groups, north", "其他", "translated"),
+        (4, "AT&T and U.S.A with state-of-the-art", "其他", "translated"),
+        (5, "état-major et c++ \\E end", "其他", "translated"),
+    ], "id long, src string, tgt string, status string")
+    terms = spark.createDataFrame([("Northern Harbour Group", "北港集团"), ("AT&T", "甲"), ("state-of-the-art", "乙"), ("U.S.A", "丙"), ("model", "模型"), ("tat", "丁"), ("état-major", "戊"), ("art AT", "己")], "en string, zh string").withColumn("verdict", F.lit("term"))
     found = {r["en"]: (r["n"], r["n_violations"]) for r in audit.glossary_violations(pairs, terms).collect()}
     assert found == {"Northern Harbour Group": (2, 1), "AT&T": (1, 1), "state-of-the-art": (1, 1), "U.S.A": (1, 1), "model": (1, 0), "état-major": (1, 1)}
     frozen = {r["en"]: (r["n_targets"], r["keep"], r["needs_ruling"]) for r in audit.glossary_freeze(pairs, terms).collect()}
-    assert frozen["Northern Harbour Group"] == (2, False, True) and set(frozen) == set(found)
+    assert frozen["Northern Harbour Group"] == (2, False, False) and set(frozen) == set(found)
+    open_ = terms.withColumn("zh", F.lit(None).cast("string")).withColumn("verdict", F.when(F.col("en") == "AT&T", "kept").otherwise("term"))
+    ruled = {r["en"]: (r["keep"], r["needs_ruling"]) for r in audit.glossary_freeze(pairs, open_).collect()}
+    assert ruled["Northern Harbour Group"] == (False, True) and ruled["AT&T"] == (True, True)  # one target, and still no form
+    held = audit.glossary_freeze(pairs.withColumn("tgt", F.concat("src", F.lit(" 译"))), open_).collect()
+    assert all(r["keep"] and not r["needs_ruling"] for r in held)
+    paren = pairs.where("id = 3").withColumn("tgt", F.lit("北港（northern harbour）"))
+    one = audit.glossary_freeze(paren, spark.createDataFrame([("Northern", "", "paren")], "en string, zh string, verdict string")).first()
+    assert (one["zh"], one["needs_ruling"]) == ("北港", False)
