@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import geom as G
 from quire.functions import text as T
-from quire.operators.spatial import box_join, left_box, prefixed, right_box
+from quire.operators import layout
+from quire.operators.spatial import left_box, prefixed, right_box
 from quire.plans.views import frags, lines, sql, table
 from quire.queries import NORM_WS, ORACLE, QUERIES, _area, _inter, _overlap, query
 
@@ -83,23 +84,11 @@ def box_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frags(spark, sf_dir).select("page", "ln", r(turned.x0).alias("tx0"), r(turned.y0).alias("ty0"), r(p.x0).alias("px0"), r(p.x1).alias("px1"), G.is_vertical(b).alias("vertical"), G.micro_size(b.y1 - b.y0).alias("micro"))
 
 
-@query("title_images", sql("frags", f", t AS (SELECT * FROM frags WHERE ln % 3 = 0), i AS (SELECT * FROM frags WHERE ln % 3 = 1), m AS (SELECT i.page, i.ln, t.ln AS title, {_overlap('t', 'i')} AS score FROM i JOIN t ON i.page = t.page AND {_overlap('t', 'i')} > 0.3) SELECT page, ln, arg_max(title, score * 1e6 - title * 1e-3) AS title FROM m GROUP BY page, ln"))
-def title_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each image the title that it covers best."""
-    f = frags(spark, sf_dir).select("page", "ln", "x0", "y0", "x1", "y1")
-    score = G.overlap_min(left_box(), right_box())
-    met = box_join(prefixed(f.where("ln % 3 = 1"), "l_"), prefixed(f.where("ln % 3 = 0"), "r_"), score > 0.3).withColumn("score", score)
-    return met.groupBy(F.col("l_page").alias("page"), F.col("l_ln").alias("ln")).agg(F.max_by("r_ln", F.col("score") * 1e6 - F.col("r_ln") * 1e-3).alias("title"))
-
-
-@query("anchor_candidates", sql("frags", "SELECT l.page, l.ln, min(greatest(0, r.y0 - l.y1, l.y0 - r.y1))::DOUBLE AS gap FROM frags l JOIN frags r ON l.page = r.page AND l.ln <> r.ln AND abs(r.ln - l.ln) <= 8 AND greatest(0, least(l.x1, r.x1) - greatest(l.x0, r.x0)) / greatest(least(l.x1 - l.x0, r.x1 - r.x0), 1e-6) >= 0.5 GROUP BY 1, 2"))
+@query("anchor_candidates", sql("frags", "SELECT l.page, l.ln, min(greatest(0, r.y0 - l.y1, l.y0 - r.y1))::DOUBLE AS gap FROM frags l JOIN frags r ON l.page = r.page AND l.ln <> r.ln AND greatest(0, least(l.x1, r.x1) - greatest(l.x0, r.x0)) / greatest(least(l.x1 - l.x0, r.x1 - r.x0), 1e-6) >= 0.5 GROUP BY 1, 2"))
 def anchor_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distance to the nearest block above or below that shares half of the width, within eight lines."""
+    """Distance to the nearest block of the page above or below that shares half of the width."""
     f = frags(spark, sf_dir).select("page", "ln", "x0", "y0", "x1", "y1")
-    near = prefixed(f, "r_").withColumn("k", F.explode(F.sequence(F.col("r_ln") - 8, F.col("r_ln") + 8)))
-    both = prefixed(f, "l_").join(near, (F.col("l_page") == F.col("r_page")) & (F.col("l_ln") == F.col("k")) & (F.col("l_ln") != F.col("r_ln")))
-    kept = both.where(G.x_overlap_ratio(left_box(), right_box()) >= 0.5)
-    return kept.groupBy(F.col("l_page").alias("page"), F.col("l_ln").alias("ln")).agg(F.min(G.vgap(left_box(), right_box())).cast("double").alias("gap"))
+    return layout.nearest_sharing(f)
 
 
 @query("unit_statistics", "SELECT p_brand AS font, p_size AS size, count(*) AS n FROM part GROUP BY 1, 2 ORDER BY n DESC, font, size LIMIT 30")
@@ -107,12 +96,6 @@ def unit_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("font"), F.col("p_size").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "font", "size").limit(30)
 
 
-@query("shrunk_units", sql("frags", "SELECT count(*) FILTER (WHERE conf < 0.985) AS n_shrunk, count(*) FILTER (WHERE conf - 0.1::DOUBLE < 0) AS n_dropped FROM frags"))
-def shrunk_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gate on dropped text: units set smaller than planned, and units without room."""
-    return frags(spark, sf_dir).agg(F.count_if(F.col("conf") < 0.985).alias("n_shrunk"), F.count_if(F.col("conf") - 0.1 < 0).alias("n_dropped"))
-
-
 @query("suspicious_pages", sql("pairs", r"SELECT page, sum(len(regexp_extract_all(src, '[A-Za-z]{2,}')))::BIGINT AS n_words, sum(len(regexp_extract_all(tgt, '[\x{3400}-\x{9fff}]')))::BIGINT AS n_cjk FROM pairs GROUP BY page HAVING sum(len(regexp_extract_all(src, '[A-Za-z]{2,}'))) >= 25 AND sum(len(regexp_extract_all(tgt, '[\x{3400}-\x{9fff}]'))) < 10"))
 def suspicious_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with many source words and hardly any target characters."""

@@ -24,9 +24,9 @@ def _box(s: Column) -> Box:
     return Box(*[s[k] for k in ("x0", "y0", "x1", "y1")])
 
 
-def dedup_overlaps(df: DataFrame, threshold: float = 0.55) -> DataFrame:
+def dedup_overlaps(df: DataFrame, threshold: float = 0.55, more: tuple[str, ...] = ()) -> DataFrame:
     """Longest texts first; boxes that overlap an accepted one by more than threshold go."""
-    return greedy(df, "page", [-F.length("text"), F.col("ln")], ["ln", "text", "x0", "y0", "x1", "y1"], lambda a, x: overlap_min(_box(a), _box(x)) > threshold)
+    return greedy(df, "page", [-F.length("text"), F.col("ln")], ["ln", "text", "x0", "y0", "x1", "y1", *more], lambda a, x: overlap_min(_box(a), _box(x)) > threshold)
 
 
 def dedup_contained(df: DataFrame) -> DataFrame:

@@ -156,21 +156,25 @@ def multi_aligned(lines: DataFrame, size: Column) -> DataFrame:
 
 
 def room_below(boxes: DataFrame, slack: float = 2.0) -> DataFrame:
-    """Lowest line that a box may grow to: the nearest box below that it overlaps sideways, at most 3 line heights."""
+    """Lowest line that a box may grow to: the nearest box below that reaches more than `slack` into its width, at most
+    `extra` below its end (a column; without it three times the box's height)."""
+    if "extra" not in boxes.columns:
+        boxes = boxes.withColumn("extra", 3 * (F.col("y1") - F.col("y0")))
+    reach = F.col("l_y1") + F.col("l_extra") + 1.5
     theta = (
         (F.col("l_page") == F.col("r_page"))
         & (F.col("l_ln") != F.col("r_ln"))
-        & (F.least("l_x1", "r_x1") - F.greatest("l_x0", "r_x0") > -slack)
+        & (F.col("r_x1") > F.col("l_x0") + slack)
+        & (F.col("r_x0") < F.col("l_x1") - slack)
         & (F.col("r_y0") >= F.col("l_y1") - 1)
-        & (F.col("r_y0") <= F.col("l_y1") + 3 * (F.col("l_y1") - F.col("l_y0")) + 1.5)
+        & (F.col("r_y0") <= reach)
     )
     # Only boxes within reach matter, so a page's boxes meet by bands and not all with all.
-    reach = F.col("l_y1") + 3 * (F.col("l_y1") - F.col("l_y0"))
     band = lambda c: F.floor(c / 60.0)
-    left = prefixed(boxes, "l_").withColumn("band", F.explode(F.sequence(band(F.col("l_y1") - 1), band(reach + 1.5))))
-    right = prefixed(boxes, "r_").withColumn("band", band(F.col("r_y0")))
+    left = prefixed(boxes, "l_").withColumn("band", F.explode(F.sequence(band(F.col("l_y1") - 1), F.greatest(band(F.col("l_y1") - 1), band(reach)))))
+    right = prefixed(boxes.drop("extra"), "r_").withColumn("band", band(F.col("r_y0")))
     met = left.join(right, (left["band"] == right["band"]) & theta).groupBy("l_page", "l_ln").agg(F.min(F.col("r_y0") - 1.5).alias("limit"))
-    own = boxes.select("page", "ln", (F.col("y1") + 3 * (F.col("y1") - F.col("y0"))).alias("most"))
+    own = boxes.select("page", "ln", (F.col("y1") + F.col("extra")).alias("most"))
     out = own.join(met, (F.col("page") == F.col("l_page")) & (F.col("ln") == F.col("l_ln")), "left")
     return out.select("page", "ln", F.bround(F.least("most", F.coalesce("limit", "most")), 4).alias("bottom"))
 
@@ -186,5 +190,19 @@ def row_neighbours(boxes: DataFrame) -> DataFrame:
 def baselines(combos: DataFrame, measured: DataFrame) -> DataFrame:
     """Baseline of each distinct (size, ratio): measured where known, else by formula."""
     rows = combos.select("size", F.bround("ratio", 4).alias("ratio")).distinct()
-    found = rows.join(F.broadcast(measured), ["size", "ratio"], "left")  # measured: one row per type size in use
+    found = rows.join(measured, ["size", "ratio"], "left")
     return found.select("size", "ratio", F.bround(G.baseline(F.col("size"), F.col("ratio"), F.col("k")), 6).alias("k"))
+
+
+def nearest_sharing(boxes: DataFrame, share: float = 0.5, cell: float = 60.0) -> DataFrame:
+    """For each box the vertical distance to the nearest other box of its page that shares so much of the narrower width.
+
+    Boxes meet in columns of the page, and each pair in the first column that both touch.
+    """
+    column = lambda c: F.floor(F.col(c) / cell)
+    spread = lambda df, p: df.withColumn(f"{p}cell", F.explode(F.sequence(column(f"{p}x0"), F.greatest(column(f"{p}x0"), column(f"{p}x1")))))
+    left, right = spread(prefixed(boxes, "l_"), "l_"), spread(prefixed(boxes, "r_"), "r_")
+    first = F.col("l_cell") == F.greatest(column("l_x0"), column("r_x0"))
+    met = left.join(right, (F.col("l_page") == F.col("r_page")) & (F.col("l_cell") == F.col("r_cell")) & first & (F.col("l_ln") != F.col("r_ln")))
+    met = met.where(G.x_overlap_ratio(G.box("l_"), G.box("r_")) >= share)
+    return met.groupBy(F.col("l_page").alias("page"), F.col("l_ln").alias("ln")).agg(F.min(G.vgap(G.box("l_"), G.box("r_"))).cast("double").alias("gap"))

@@ -85,3 +85,25 @@ def background(colors: DataFrame) -> DataFrame:
         F.count_if(F.col("lum") >= 200).alias("n_light"),
         F.count_if((F.col("h") > 2 * F.col("w")) & (F.col("n") > 3)).alias("n_turned"),
     )
+
+
+def probe(pages: DataFrame, images: DataFrame, least: float = 0.8) -> DataFrame:
+    """By document: pages, characters and their mean, images and pages that an image fills, and the route.
+
+    pages: document, page, chars, area; images: document, page, area.
+    """
+    per_page = images.groupBy("document", "page").agg(F.count(F.lit(1)).alias("images"), F.max("area").alias("largest"))
+    both = pages.join(per_page, ["document", "page"], "left").withColumn("images", F.coalesce("images", F.lit(0)))
+    full = both.groupBy("document").agg(F.count_if(F.col("largest") >= least * F.col("area")).alias("n_full"))
+    return route(both.select("document", "chars", "images")).join(full, "document")
+
+
+def character_histogram(spans: DataFrame, column: str, k: int) -> DataFrame:
+    """The k values of a column that most characters of (text, ...) spans have."""
+    per = spans.groupBy(column).agg(F.sum(F.length("text")).alias("n_chars"))
+    return per.orderBy(F.desc("n_chars"), column).limit(k)
+
+
+def worst_backgrounds(colors: DataFrame, k: int = 30) -> DataFrame:
+    """The k blocks of the least uniform backgrounds."""
+    return colors.where("ratio < 0.55").orderBy("ratio", "page", "ln").limit(k).select("page", "ln", "ratio")

@@ -1,4 +1,4 @@
-"""Joins of boxes on a page, by cells of a grid."""
+"""Joins on a page: of boxes, by cells of a grid, and of texts within each other."""
 
 from __future__ import annotations
 
@@ -42,3 +42,22 @@ def left_box() -> Box:
 
 def right_box() -> Box:
     return Box(*[F.col(f"r_{k}") for k in ("x0", "y0", "x1", "y1")])
+
+
+def _key_grams(c: Column) -> Column:
+    """All runs of three characters, each once."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - 2)), lambda i: F.substring(c, i, F.lit(3))))
+
+
+def contained(asked: DataFrame, seen: DataFrame) -> DataFrame:
+    """(page, norm) rows of which some norm of the page's `seen` contains, equals or is contained in theirs.
+
+    They meet by the first three characters of the shorter one among all runs of three of the longer.
+    """
+    parts = []
+    for short, long, keep in ((asked, seen, "l_norm"), (seen, asked, "r_norm")):
+        heads = short.select(F.col("page").alias("l_page"), F.col("norm").alias("l_norm"), F.substring("norm", 1, 3).alias("g"))
+        grams = long.select(F.col("page").alias("r_page"), F.col("norm").alias("r_norm"), F.explode(_key_grams(F.col("norm"))).alias("g"))
+        met = heads.join(grams, (F.col("l_page") == F.col("r_page")) & (heads["g"] == grams["g"]) & F.contains("r_norm", "l_norm"))
+        parts.append(met.select(F.col("l_page").alias("page"), F.col(keep).alias("norm")))
+    return parts[0].unionByName(parts[1]).distinct()

@@ -188,7 +188,10 @@ def micro_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.micro_numbers(frags(spark, sf_dir).where("y1 - y0 < 5"))
 
 
-@query("micro_collisions", sql("frags", ", m AS (SELECT page, ln, round_even(least(4.6::DOUBLE, greatest(3.6::DOUBLE, 1.6::DOUBLE * (y1 - y0))), 2) AS size, x0, x1, (y0 + y1) / 2 AS mid FROM frags WHERE y1 - y0 < 5), g AS (SELECT page, ln, size, x0 - (x1 - x0) * 0.35::DOUBLE / 2 AS x0, mid - 0.72::DOUBLE * size AS y0, x1 + (x1 - x0) * 0.35::DOUBLE / 2 AS x1, mid + 0.72::DOUBLE * size AS y1 FROM m) SELECT DISTINCT g.page, g.ln, g.size FROM g JOIN frags r ON g.page = r.page AND g.ln <> r.ln AND least(g.y1, r.y1) - greatest(g.y0, r.y0) > 0.4 AND least(g.x1, r.x1) - greatest(g.x0, r.x0) > 0"))
+_COLLIDED = ", m AS (SELECT page, ln, text, round_even(least(4.6::DOUBLE, greatest(3.6::DOUBLE, 1.6::DOUBLE * (y1 - y0))), 2) AS size, x0, x1, (y0 + y1) / 2 AS mid FROM {0}), g AS (SELECT page, ln, size, x0 - 1 AS x0, mid - 0.72::DOUBLE * size AS y0, x1 + 1 AS x1, mid + 0.72::DOUBLE * size AS y1 FROM m), hit AS (SELECT DISTINCT g.page, g.ln, g.size FROM g JOIN frags r ON g.page = r.page AND g.ln <> r.ln AND r.y1 > g.y0 + 0.4::DOUBLE AND r.y0 < g.y1 - 0.4::DOUBLE AND r.x1 > g.x0 AND r.x0 < g.x1)"
+
+
+@query("micro_collisions", sql("frags", ", c AS (SELECT * FROM frags WHERE y1 - y0 < 5)" + _COLLIDED.format("c") + " SELECT * FROM hit"))
 def micro_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = frags(spark, sf_dir)
     return worklist.micro_collisions(f.where("y1 - y0 < 5"), f)
@@ -201,22 +204,90 @@ def plan_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return box_join(prefixed(b, "l_"), prefixed(b, "r_"), theta).groupBy(F.col("l_page").alias("page")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("plan_greedy_dedup")
+def _greedy(source: str, order: str, clash: str) -> str:
+    """Tables of the rows that a fold in an order keeps: a row (x) goes if it clashes with a kept one (a) of its page."""
+    row = "{'ln': ln, 'text': text, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}"
+    return f", folded AS (SELECT page, unnest(list_reduce(list([{row}] ORDER BY {order}), lambda acc, x: CASE WHEN len(list_filter(acc, lambda a: {clash})) > 0 THEN acc ELSE list_concat(acc, x) END)) AS a FROM {source} GROUP BY page), kept AS (SELECT page, a.ln AS ln, a.text AS text, a.x0 AS x0, a.y0 AS y0, a.x1 AS x1, a.y1 AS y1 FROM folded)"
+
+
+_OVERLAPS = _overlap("a", "x[1]") + " > 0.55"
+_LONGEST = 'length(text) DESC, ln'
+
+
+@query("plan_greedy_dedup", sql("blocks", _greedy("blocks", _LONGEST, _OVERLAPS) + " SELECT page, ln FROM kept"))
 def plan_greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.dedup_overlaps(blocks(spark, sf_dir)).select("page", "ln")
 
 
-@query("plan_incremental_merge")
+@query("plan_incremental_merge", sql("blocks", f", o AS (SELECT * FROM blocks WHERE ln % 2 = 0), n AS (SELECT * FROM blocks b WHERE ln % 2 = 1 AND NOT EXISTS (SELECT 1 FROM o WHERE o.page = b.page AND {_overlap('o', 'b')} > 0.55))" + _greedy("n", _LONGEST, _OVERLAPS) + " SELECT page, ln, 'old' AS origin FROM o UNION ALL SELECT page, ln, 'new' FROM kept"))
 def plan_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = blocks(spark, sf_dir)
     return worklist.plan_increment(b.where("ln % 2 = 0"), b.where("ln % 2 = 1"))
 
 
-@query("plan_build")
+# Upright blocks: narrow and high boxes where others are broad.
+_VERTICAL = ", up AS (SELECT doc, page, ln + 1000000 AS ln, text, x0, y0, x0 + 6 + ln % 40 AS x1, y0 + 5.6::DOUBLE * length(text) AS y1 FROM frags WHERE ln % 3 = 0)"
+
+
+def _vertical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ln = F.col("ln")
+    return frags(spark, sf_dir).where(ln % 3 == 0).select("doc", "page", (ln + 1000000).alias("ln"), "text", "x0", "y0", (F.col("x0") + 6 + ln % 40).alias("x1"), (F.col("y0") + 5.6 * F.length("text")).alias("y1"))
+
+
+_BOTH = _VERTICAL + ", both_ AS (SELECT doc, page, ln, text, x0, y0, x1, y1, conf, 'scope' AS origin FROM frags WHERE ln % 3 <> 0 UNION ALL SELECT doc, page, ln, text, x0, y0, x1, y1, 1.0, 'vertical' FROM up)"
+_JUDGED_BOTH = JUDGED.replace("FROM frags", "FROM both_")
+
+
+def _given(texts: DataFrame) -> DataFrame:
+    """Translations: some texts are kept, some have none, the others are turned round."""
+    n = F.length("text")
+    return texts.select("text").distinct().withColumn("value", F.when(n % 5 == 0, "=").when(n % 7 == 0, "").otherwise(F.substring(F.reverse("text"), 1, 9)))
+
+
+_GIVEN = "CASE WHEN length(text) % 5 = 0 THEN '=' WHEN length(text) % 7 = 0 THEN '' ELSE reverse(text)[1:9] END"
+
+
+@query("plan_build", sql("frags", _BOTH + _JUDGED_BOTH + f", gv AS (SELECT * FROM (SELECT *, {_GIVEN} AS value FROM j WHERE reason IS NULL) WHERE value <> '' AND value <> '=')" + _greedy("gv", _LONGEST, _OVERLAPS) + f""", pv AS (SELECT *, {_GIVEN} AS value, x1 - x0 AS w, y1 - y0 AS h FROM kept), pt AS (SELECT *, w < 14 AND h > 18 AND length(value) >= 2 AS turn FROM pv)
+SELECT row_number() OVER (ORDER BY page, y0, x0, ln) AS pos, page, ln, text, value, CASE WHEN turn THEN 90 ELSE 0 END AS rotate, round_even(CASE WHEN turn THEN least(0.78::DOUBLE * h, w * 1.15::DOUBLE, h / greatest(1, length(value)) * 1.35::DOUBLE) ELSE least(0.78::DOUBLE * h, w / greatest(1, length(value)) * 1.25::DOUBLE) END, 3) AS size, round_even(1.15::DOUBLE * h, 3) AS size_cap FROM pt"""))
 def plan_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = blocks(spark, sf_dir)
-    given = f.select("text").distinct().withColumn("value", F.when(F.crc32("text") % 5 == 0, "=").otherwise(F.substring("text", 1, 9)))
-    return worklist.translated_plan(f, given)
+    """The plan over both scans, in order of page and place."""
+    scope_, up = frags(spark, sf_dir).where("ln % 3 <> 0"), _vertical(spark, sf_dir)
+    given = _given(scope_.select("text").unionByName(up.select("text")))
+    return worklist.translated_plan(scope_.select("doc", "page", "ln", "text", "x0", "y0", "x1", "y1", "conf"), given, up)
+
+
+@query("candidate_union", sql("frags", _BOTH + " SELECT page, ln, origin, conf::DOUBLE AS conf, 'label' AS cls FROM both_"))
+def candidate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both scans as one table."""
+    scope_ = frags(spark, sf_dir).where("ln % 3 <> 0").select("page", "ln", "conf", F.lit(None).cast("string").alias("cls"))
+    return worklist.candidates(scope_, _vertical(spark, sf_dir).select("page", "ln")).select("page", "ln", "origin", "conf", "cls")
+
+
+@query("vertical_new", sql("frags", _VERTICAL + f""", sc AS (SELECT page, list(DISTINCT {NORM_WS.format('text')}) AS norms FROM frags WHERE ln % 3 = 1 AND length({NORM_WS.format('text')}) >= 5 GROUP BY page), pl AS (SELECT DISTINCT page, {NORM_WS.format('text')} AS norm FROM frags WHERE ln % 9 = 2),
+vf AS (SELECT *, {NORM_WS.format('text')} AS norm FROM up WHERE x1 - x0 < 34 AND y1 - y0 > 18 AND y1 - y0 > 1.4::DOUBLE * (x1 - x0) AND length(text) >= 4 AND regexp_full_match(text, '[\x00-\x7f]*') AND length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 4 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::DOUBLE / length(text) >= 0.7 AND regexp_matches(text, '[A-Za-z]{{2,}}'))
+SELECT vf.page, ln FROM vf LEFT JOIN sc ON sc.page = vf.page WHERE len(list_filter(coalesce(norms, []), lambda s: contains(s, norm) OR contains(norm, s))) = 0 AND NOT EXISTS (SELECT 1 FROM pl WHERE pl.page = vf.page AND pl.norm = vf.norm)"""))
+def vertical_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upright blocks that neither the main scan (every third block) nor the plan (every ninth) has."""
+    f = frags(spark, sf_dir)
+    return worklist.vertical_new(_vertical(spark, sf_dir), f.where("ln % 3 = 1"), f.where("ln % 9 = 2")).select("page", "ln")
+
+
+@query("supplement_ranked", sql("frags", _VERTICAL + JUDGED + f""", seen AS (SELECT DISTINCT {NORM_WS.format('text')} AS key FROM j WHERE reason IS NULL),
+sm AS (SELECT text, min((page, ln, y1 - y0)) AS f FROM frags WHERE y1 - y0 >= 3.6 AND y1 - y0 < 5 AND {_CLEAN} AND {NORM_WS.format('text')} NOT IN (SELECT key FROM seen) GROUP BY text),
+ve AS (SELECT text, min((page, ln, y1 - y0)) AS f FROM up WHERE {_CLEAN} AND {NORM_WS.format('text')} NOT IN (SELECT key FROM seen) GROUP BY text),
+b AS (SELECT coalesce(sm.text, ve.text) AS text, CASE WHEN sm.text IS NOT NULL THEN 'small' ELSE 'vertical' END AS origin, coalesce(sm.f, ve.f) AS f FROM sm FULL JOIN ve ON sm.text = ve.text)
+SELECT row_number() OVER (ORDER BY origin <> 'vertical', f[3] DESC, text COLLATE "binary") AS rank, text, origin, f[1] AS page, f[3] AS h FROM b""".replace('""', '"')))
+def supplement_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the queue left out in both scans, in the order of the supplement."""
+    return worklist.supplement_ranked(frags(spark, sf_dir), _vertical(spark, sf_dir))
+
+
+@query("micro_plan", sql("frags", f''', mc AS (SELECT * FROM frags WHERE {_MICRO}), p AS (SELECT * FROM frags WHERE y1 - y0 >= 5), cand AS (SELECT * FROM mc m WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.page = m.page AND {_overlap('m', 'p')} > 0.4)), num AS (SELECT text, 9499 + row_number() OVER (ORDER BY lower(text) COLLATE "binary", text COLLATE "binary") AS gid FROM (SELECT DISTINCT text FROM cand)), ok AS (SELECT cand.*, gid, {_GIVEN.replace('text', 'cand.text')} AS value FROM cand JOIN num ON cand.text = num.text), okv AS (SELECT * FROM ok WHERE value <> '' AND value <> '=')''' + _COLLIDED.format("okv") + """, fin AS (SELECT okv.*, round_even(least(4.6::DOUBLE, greatest(3.6::DOUBLE, 1.6::DOUBLE * (y1 - y0))), 2) AS size FROM okv WHERE NOT EXISTS (SELECT 1 FROM hit WHERE hit.page = okv.page AND hit.ln = okv.ln))
+SELECT row_number() OVER (ORDER BY page, y0, x0, ln) AS pos, page, ln, gid, value, size, round_even(x0, 4) AS x0, round_even((y0 + y1) / 2 - 0.72::DOUBLE * size, 4) AS y0, round_even(x0 + (x1 - x0) * 1.35::DOUBLE, 4) AS x1, round_even((y0 + y1) / 2 + 0.72::DOUBLE * size, 4) AS y1 FROM fin"""))
+def micro_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan rows of micro labels that meet no other box."""
+    f = frags(spark, sf_dir)
+    return worklist.micro_plan(f, f.where("y1 - y0 >= 5"), _given(f), f)
 
 
 @query("merge_validation", "SELECT coalesce(a.o_orderkey, b.o_orderkey) AS id, CASE WHEN b.o_orderkey IS NULL THEN 'missing' WHEN a.o_orderkey IS NULL THEN 'extra' WHEN b.o_orderkey % 31 = 0 THEN 'empty' ELSE 'ok' END AS state FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 17 <> 0) a FULL JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 13 <> 0) b ON a.o_orderkey = b.o_orderkey")
@@ -246,7 +317,10 @@ def repeat_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.repeats(pairs(spark, sf_dir))
 
 
-@query("repeat_variants")
+_LONG_FIRST = "list_reduce(list([tgt] ORDER BY length(tgt) DESC, tgt COLLATE \"binary\"), lambda acc, x: CASE WHEN len(list_filter(acc, lambda a: contains(a, x[1]))) > 0 THEN acc ELSE list_concat(acc, x) END)"
+
+
+@query("repeat_variants", sql("block_pairs", _STATUS.replace("FROM pairs", "FROM block_pairs") + f", rr AS (SELECT {NORM_WS.format('src')} AS key, tgt, count(*) AS c FROM st WHERE status IN ('translated', 'same') AND length(src) >= 8 AND {NORM_WS.format('src')} <> '' GROUP BY 1, 2), rv AS (SELECT key, sum(c)::BIGINT AS n, {_LONG_FIRST} AS vs FROM rr GROUP BY key HAVING sum(c) >= 2 AND count(*) > 1) SELECT key, n, array_to_string(vs, ' / ') AS variants FROM rv WHERE len(vs) >= 2"))
 def repeat_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.repeat_variants(block_pairs(spark, sf_dir)).select("key", "n", F.array_join("variants", " / ").alias("variants"))
 
@@ -438,7 +512,7 @@ def long_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ENGLISH = r"length(text) >= 3 AND regexp_full_match(text, '[\x20-\x7e]*') AND conf >= 0.5 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 3 AND length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::DOUBLE / length(text) >= 0.6 AND regexp_matches(text, '[A-Za-z]{2,}')"
 
 
-_RESIDUE = f""", e AS (SELECT *, {NORM_WS.format('text')} AS norm FROM frags WHERE ln % 2 = 0 AND {_ENGLISH}),
+_RESIDUE = rf""", e AS (SELECT *, {NORM_WS.format('text')} AS norm FROM frags WHERE ln % 2 = 0 AND {_ENGLISH}),
 keep AS (SELECT DISTINCT {NORM_WS.format('text')} AS norm FROM frags WHERE doc % 10 = 0),
 lw AS (SELECT page, list_distinct(flatten(list(regexp_extract_all(lower(text), '[A-Za-z]{{2,}}')))) AS words FROM frags WHERE ln % 40 = 1 GROUP BY page),
 p AS (SELECT * FROM frags WHERE ln % 4 = 3), sc AS (SELECT page, list(DISTINCT {NORM_WS.format('text')}) AS norms FROM frags WHERE ln % 6 = 5 AND length({NORM_WS.format('text')}) >= 6 GROUP BY page),
@@ -468,7 +542,7 @@ def residue_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracing.residue_targets(found.select("page", "ln", "h", "cls"))
 
 
-@query("residue_dedup")
+@query("residue_dedup", sql("blocks", _greedy("blocks", "y0, x0, length(text) DESC, ln", "contains(a.text, x[1].text)") + " SELECT page, ln FROM kept"))
 def residue_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.dedup_contained(blocks(spark, sf_dir)).select("page", "ln")
 
@@ -547,7 +621,7 @@ def align_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.aligned(units_extract(spark, sf_dir), table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("page"), F.lit(612.0).alias("width")))
 
 
-@query("room_below", sql("frags", "SELECT page, ln, round_even(least(most, coalesce(lim, most)), 4) AS bottom FROM (SELECT l.page, l.ln, l.y1 + 3 * (l.y1 - l.y0) AS most, (SELECT min(r.y0 - 1.5::DOUBLE) FROM frags r WHERE r.page = l.page AND r.ln <> l.ln AND least(l.x1, r.x1) - greatest(l.x0, r.x0) > -2 AND r.y0 >= l.y1 - 1 AND r.y0 <= l.y1 + 3 * (l.y1 - l.y0) + 1.5::DOUBLE) AS lim FROM frags l)"))
+@query("room_below", sql("frags", "SELECT page, ln, round_even(least(most, coalesce(lim, most)), 4) AS bottom FROM (SELECT l.page, l.ln, l.y1 + 3 * (l.y1 - l.y0) AS most, (SELECT min(r.y0 - 1.5::DOUBLE) FROM frags r WHERE r.page = l.page AND r.ln <> l.ln AND r.x1 > l.x0 + 2 AND r.x0 < l.x1 - 2 AND r.y0 >= l.y1 - 1 AND r.y0 <= l.y1 + 3 * (l.y1 - l.y0) + 1.5::DOUBLE) AS lim FROM frags l)"))
 def room_below(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.room_below(frags(spark, sf_dir).select("page", "ln", "x0", "y0", "x1", "y1"))
 
@@ -586,14 +660,14 @@ def ssim_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mates(spark, sf_dir).select("vec_id", F.round(kernels.ssim("a", "b"), 6).alias("ssim"))
 
 
-@query("visual_flags", sql("frags", ", v AS (SELECT page, round_even(avg(conf::DECIMAL(10, 4)), 6) AS ssim, max(y1 - y0) AS ae FROM frags GROUP BY page) SELECT page, ssim <= (SELECT list_sort(list(ssim))[least(count(*) - 1, floor(count(*) * 0.05::DOUBLE))::BIGINT + 1] FROM v) AS low_ssim, ae >= (SELECT list_sort(list(ae))[least(count(*) - 1, floor(count(*) * 0.95::DOUBLE))::BIGINT + 1] FROM v) AND ae > 0 AS high_ae FROM v"))
-def visual_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per = frags(spark, sf_dir).groupBy("page").agg(F.bround(F.avg(F.col("conf").cast("decimal(10,4)")).cast("double"), 6).alias("ssim"), F.max(F.col("y1") - F.col("y0")).alias("ae"))
-    low, high = sampling.quantile(per, "ssim", 0.05, "low"), sampling.quantile(per, "ae", 0.95, "high")
-    return per.crossJoin(F.broadcast(low)).crossJoin(F.broadcast(high)).select("page", (F.col("ssim") <= F.col("low")).alias("low_ssim"), ((F.col("ae") >= F.col("high")) & (F.col("ae") > 0)).alias("high_ae"))
+_IOU = "CASE WHEN least(x.r.x1, b.x1) > greatest(x.r.x0, b.x0) AND least(x.r.y1, b.y1) > greatest(x.r.y0, b.y0) THEN (least(x.r.x1, b.x1) - greatest(x.r.x0, b.x0)) * (least(x.r.y1, b.y1) - greatest(x.r.y0, b.y0)) / ((x.r.x1 - x.r.x0) * (x.r.y1 - x.r.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - (least(x.r.x1, b.x1) - greatest(x.r.x0, b.x0)) * (least(x.r.y1, b.y1) - greatest(x.r.y0, b.y0))) ELSE 0::DOUBLE END"
+_IOUS = f"list_transform(acc.rest, lambda b: {_IOU})"
 
 
-@query("rect_iou_match")
+@query("rect_iou_match", sql("blocks", f""", ra AS (SELECT page, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} AS r FROM blocks), rb AS (SELECT page, list({{'x0': r.x0 + 1, 'y0': r.y0, 'x1': r.x1 + 1, 'y1': r.y1}} ORDER BY r.x0, r.y0, r.x1, r.y1) AS rest FROM ra GROUP BY page),
+rl AS (SELECT ra.page, list_prepend({{'r': any_value(r), 'rest': any_value(rest), 'scores': []::DOUBLE[]}}, list({{'r': r, 'rest': rest[1:0], 'scores': []::DOUBLE[]}} ORDER BY -((r.x1 - r.x0) * (r.y1 - r.y0)), r.x0, r.y0, r.x1, r.y1)) AS steps FROM ra JOIN rb ON ra.page = rb.page GROUP BY ra.page),
+rr AS (SELECT page, list_reduce(steps, lambda acc, x: {{'r': x.r, 'rest': CASE WHEN list_max({_IOUS}) > 0 THEN list_concat(acc.rest[1:list_position({_IOUS}, list_max({_IOUS})) - 1], acc.rest[list_position({_IOUS}, list_max({_IOUS})) + 1:len(acc.rest)]) ELSE acc.rest END, 'scores': list_append(acc.scores, coalesce(list_max({_IOUS}), 0))}}) AS s FROM rl)
+SELECT page, len(s.scores)::BIGINT AS n, list_sum(s.scores) / len(s.scores) AS iou FROM rr"""))
 def rect_iou_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = blocks(spark, sf_dir)
     sides = b.select("page", "x0", "y0", "x1", "y1", F.lit("a").alias("side")).unionByName(b.select("page", F.col("x0") + 1, "y0", F.col("x1") + 1, "y1", F.lit("b").alias("side")).toDF("page", "x0", "y0", "x1", "y1", "side"))
@@ -630,17 +704,6 @@ def toc_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.compared_contents(n, moved)
 
 
-@query("qc_summary", sql("pairs", _STATUS + " SELECT 0 AS section, 'no empty target' AS \"check\", CASE WHEN count(*) FILTER (WHERE status = 'empty') > 0 THEN 'FAIL' ELSE 'PASS' END AS status, count(*) FILTER (WHERE status = 'empty') AS n_bad FROM st UNION ALL SELECT 1, 'no unchanged target', CASE WHEN count(*) FILTER (WHERE status = 'unchanged') > 0 THEN 'FAIL' ELSE 'PASS' END, count(*) FILTER (WHERE status = 'unchanged') FROM st UNION ALL SELECT 2, 'boxes have area', CASE WHEN count(*) FILTER (WHERE x1 <= x0 OR y1 <= y0) > 0 THEN 'FAIL' ELSE 'PASS' END, count(*) FILTER (WHERE x1 <= x0 OR y1 <= y0) FROM st UNION ALL SELECT 3, 'residue', 'SKIP', 0"))
-def qc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = audit.with_status(pairs(spark, sf_dir))
-    return snapshots.report([
-        snapshots.check("no empty target", p, F.col("status") != "empty"),
-        snapshots.check("no unchanged target", p, F.col("status") != "unchanged"),
-        snapshots.check("boxes have area", p, (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))),
-        snapshots.check("residue", p.where("false"), F.lit(True)),
-    ])
-
-
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     return scope_summary(spark, sf_dir)
 
