@@ -611,14 +611,25 @@ def unit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc", "page", "ln", x0.alias("x0"), y0.alias("y0"), (x0 + 5.0 * F.length("text")).alias("x1"), (y0 + 12).alias("y1"), "text", F.when(ln % 10 < 2, "Bold").otherwise("Regular").alias("font"), size.alias("size"), F.lit(0).alias("color"))
 
 
-@query("units_extract")
+#: Whether a line (x) goes on a group by its last line (g), and how far off it is; null: it doesn't.
+_GAP = "CASE WHEN g.font = x.l.font AND abs(g.size - x.l.size) < 0.15 AND greatest(0, least(x.l.x1, g.x1) - greatest(x.l.x0, g.x0)) / greatest(least(x.l.x1 - x.l.x0, g.x1 - g.x0), 1e-6) > 0.3 AND least(x.l.y1, g.y1) - greatest(x.l.y0, g.y0) <= 0.6::DOUBLE * least(x.l.y1 - x.l.y0, g.y1 - g.y0) AND x.l.y0 - g.y1 BETWEEN -0.35::DOUBLE * (g.y1 - g.y0) AND greatest(0.55::DOUBLE * (g.y1 - g.y0), 5) THEN abs(x.l.y0 - g.y1) END"
+_GAPS = f"list_transform(acc.gs, lambda q: list_first(list_transform([q[len(q)]], lambda g: {_GAP})))"
+_SPREAD = "list_max({0}) - list_min({0})"
+
+
+@query("units_extract", sql("lines", rf""", ul AS (SELECT doc, page, {{'ln': ln, 'x0': x0, 'y0': y0, 'x1': x0 + 5.0::DOUBLE * length(text), 'y1': y0 + 12, 'text': text, 'font': font, 'size': size}} AS l FROM (SELECT doc, page, ln, text, ((ln % 2) * 300 + CASE WHEN (doc + ln) % 9 = 0 THEN 12 ELSE 0 END)::DOUBLE AS x0, ((ln // 2) * 14)::DOUBLE AS y0, CASE WHEN ln % 10 < 2 THEN 'Bold' ELSE 'Regular' END AS font, CASE WHEN ln % 10 < 2 THEN 16.0 ELSE 10.0 END::DOUBLE AS size FROM lines)),
+us AS (SELECT doc, page, list({{'l': l, 'gs': [[l]][1:0]}} ORDER BY round_even(l.y0, 1), l.x0, l.ln) AS steps FROM ul GROUP BY doc, page),
+uf AS (SELECT doc, page, list_reduce(list_prepend({{'l': steps[1].l, 'gs': [[steps[1].l]]}}, steps[2:len(steps)]), lambda acc, x: {{'l': x.l, 'gs': CASE WHEN list_min({_GAPS}) IS NULL THEN list_append(acc.gs, [x.l]) ELSE list_transform(acc.gs, lambda q, i: CASE WHEN i = list_position({_GAPS}, list_min({_GAPS})) THEN list_append(q, x.l) ELSE q END) END}}).gs AS gs FROM us),
+ug AS (SELECT doc, page, unnest(gs) AS g FROM uf),
+uh AS (SELECT doc, page, g, row_number() OVER (PARTITION BY doc, page ORDER BY round_even(list_min(list_transform(g, lambda v: v.y0)), 1), list_min(list_transform(g, lambda v: v.x0))) - 1 AS unit, list_transform(g, lambda v: v.x0) AS a, list_transform(g, lambda v: v.x1) AS b, list_transform(g, lambda v: (v.x0 + v.x1) / 2) AS c, list_position(list_transform(g, lambda v: length(v.text)), list_max(list_transform(g, lambda v: length(v.text)))) AS top, list_reduce(list_transform(g, lambda v: trim(regexp_replace(v.text, '\s+', ' ', 'g'), ' ')), lambda t, v: CASE WHEN t[len(t):] = '-' THEN t[1:len(t) - 1] || v ELSE trim(t || ' ' || v, ' ') END) AS text FROM ug)
+SELECT doc, page, unit::INT AS unit, list_min(a) AS x0, list_min(list_transform(g, lambda v: v.y0)) AS y0, list_max(b) AS x1, list_max(list_transform(g, lambda v: v.y1)) AS y1, text, g[top].font AS font, g[top].size AS size, CASE WHEN len(g) = 1 OR {_SPREAD.format('a')} < 1.5 THEN 'left' WHEN {_SPREAD.format('b')} < 1.5 THEN 'right' WHEN {_SPREAD.format('c')} < 1.5 THEN 'center' ELSE 'left' END AS align, CASE WHEN len(g) > 1 THEN (g[len(g)].y0 - g[1].y0) / (len(g) - 1) END AS lineheight, len(g)::INT AS nlines, NOT regexp_matches(text, '[A-Za-z]') AS passthrough FROM uh"""))
 def units_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.units(unit_lines(spark, sf_dir))
+    return layout.units(unit_lines(spark, sf_dir)).drop("lines")
 
 
 @query("align_single")
 def align_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.aligned(units_extract(spark, sf_dir), table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("page"), F.lit(612.0).alias("width")))
+    return layout.aligned(layout.units(unit_lines(spark, sf_dir)), table(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("page"), F.lit(612.0).alias("width")))
 
 
 @query("room_below", sql("frags", "SELECT page, ln, round_even(least(most, coalesce(lim, most)), 4) AS bottom FROM (SELECT l.page, l.ln, l.y1 + 3 * (l.y1 - l.y0) AS most, (SELECT min(r.y0 - 1.5::DOUBLE) FROM frags r WHERE r.page = l.page AND r.ln <> l.ln AND r.x1 > l.x0 + 2 AND r.x0 < l.x1 - 2 AND r.y0 >= l.y1 - 1 AND r.y0 <= l.y1 + 3 * (l.y1 - l.y0) + 1.5::DOUBLE) AS lim FROM frags l)"))
@@ -651,13 +662,13 @@ def fitting_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mates(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     other = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("b"))
-    scaled = lambda c: F.transform(c, lambda v: (v * 127 + 128).cast("double"))
+    scaled = lambda c: F.transform(c, lambda v: v.cast("double") * 127 + 128)
     return e.join(other, "vec_id").select("vec_id", scaled(F.col("embedding")).alias("a"), scaled(F.col("b")).alias("b"))
 
 
-@query("ssim_pairs")
+@query("ssim_pairs", "WITH r AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE * 127 + 128) AS a FROM embeddings), m AS (SELECT x.vec_id, x.a, y.a AS b FROM r x JOIN r y ON y.vec_id = x.vec_id + 1), s AS (SELECT vec_id, list_avg(a) AS ma, list_avg(b) AS mb, list_avg(list_transform(range(1, 65), lambda i: a[i] * b[i])) AS ab, list_avg(list_transform(a, lambda v: v * v)) AS aa, list_avg(list_transform(b, lambda v: v * v)) AS bb FROM m) SELECT vec_id, round_even((2 * ma * mb + 6.5025::DOUBLE) * (2 * (ab - ma * mb) + 58.5225::DOUBLE) / ((ma * ma + mb * mb + 6.5025::DOUBLE) * ((aa - ma * ma) + (bb - mb * mb) + 58.5225::DOUBLE)), 6) AS ssim FROM s")
 def ssim_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mates(spark, sf_dir).select("vec_id", F.round(kernels.ssim("a", "b"), 6).alias("ssim"))
+    return _mates(spark, sf_dir).select("vec_id", F.bround(kernels.ssim("a", "b"), 6).alias("ssim"))
 
 
 _IOU = "CASE WHEN least(x.r.x1, b.x1) > greatest(x.r.x0, b.x0) AND least(x.r.y1, b.y1) > greatest(x.r.y0, b.y0) THEN (least(x.r.x1, b.x1) - greatest(x.r.x0, b.x0)) * (least(x.r.y1, b.y1) - greatest(x.r.y0, b.y0)) / ((x.r.x1 - x.r.x0) * (x.r.y1 - x.r.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - (least(x.r.x1, b.x1) - greatest(x.r.x0, b.x0)) * (least(x.r.y1, b.y1) - greatest(x.r.y0, b.y0))) ELSE 0::DOUBLE END"

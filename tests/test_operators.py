@@ -1,5 +1,7 @@
 """Operators against plain models and properties."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -198,13 +200,21 @@ def test_quotas_are_trimmed():
     sizes = {"cover": 1, "chart": 6, "text": 6, "dense": 6, "chapter": 6, "other": 6}
     got = sampling.quotas(sizes, 31, 0.1)
     assert got == {"cover": (1, 1)} | {s: (1, 1) for s in list(sizes)[1:]}  # nothing above one is left to trim
-    sizes = {"cover": 1, "text": 25, "dense": 25, "chart": 25, "other": 15}
-    got = sampling.quotas(sizes, 91, 0.1)
-    assert sum(k for k, _ in got.values()) == 9 and sum(k for _, k in got.values()) == 9
-    got = sampling.quotas({"cover": 1, "a": 15, "b": 15, "c": 15, "d": 15, "e": 15}, 76, 0.035)
-    assert {s: k for s, (k, _) in got.items()} == {"cover": 1, "a": 1, "b": 1, "c": 1, "d": 1, "e": 1}
-    got = sampling.quotas({"cover": 1, "a": 25, "b": 25, "c": 25, "d": 24}, 100, 0.06)
-    assert got["a"] == (2, 2) and sum(k for _, k in got.values()) <= 8 < sum(k for k, _ in got.values()) or got == {"cover": (1, 1), "a": (2, 1), "b": (2, 2), "c": (2, 2), "d": (1, 1)}
+    # eleven drawn where eight are wanted: the first of the largest gives up one
+    got = sampling.quotas({"cover": 1, "a": 15, "b": 15, "c": 15, "d": 15, "e": 15}, 76, 0.1)
+    assert got == {"cover": (1, 1), "a": (2, 1), "b": (2, 2), "c": (2, 2), "d": (2, 2), "e": (2, 2)}
+
+
+def test_trimmed_strata_give_up_their_last_pages(spark):
+    rows = [(1, "cover")] + [(2 + i, "abcde"[i % 5]) for i in range(75)]
+    pages = spark.createDataFrame(rows, "page long, stratum string")
+    key = lambda p: hashlib.md5(f"11:{p}".encode()).hexdigest()
+    want = {1}
+    for s, (draw, stay) in sampling.quotas({"cover": 1, **dict.fromkeys("abcde", 15)}, 76, 0.1).items():
+        if s != "cover":
+            want |= set(sorted(sorted((p for p, t in rows if t == s), key=key)[:draw])[:stay])
+    assert {r["page"] for r in sampling.stratified(pages).collect()} == want
+    assert sampling.stratified(pages.where("false")).count() == 0
 
 
 def test_ssim_and_errors():
