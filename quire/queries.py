@@ -39,7 +39,7 @@ NUMERIC_SQL = r"(regexp_full_match(text, '[\s\d%.,()''’\-–—+/x×$:#°]*')
 CLS = rf"CASE WHEN {NUMERIC_SQL} THEN 'skip_numeric' WHEN length(text) <= 24 AND len(regexp_extract_all(text, '[A-Za-z]{{2,}}')) <= 3 AND NOT regexp_matches(text, '[.!?]$') THEN 'label' ELSE 'sentence' END"
 _SAME = "|".join(re.escape(chr(c)).replace("'", "''") + "{6}" for c in range(33, 127))
 _REPEAT = f"regexp_matches(text, ' {{6}}|{_SAME}')"
-_MUTE = r"len(list_filter(regexp_extract_all(text, '\b[A-Za-z]{8,}\b'), lambda w: NOT regexp_matches(w, '[aeiouyAEIOUY]'))) > 0 AND NOT regexp_matches(text, '[\x{4e00}-\x{9fff}]')"
+_MUTE = r"len(list_filter(regexp_extract_all(regexp_replace(text, '[\x{c0}-\x{24f}]', '0', 'g'), '\b[A-Za-z]{8,}\b'), lambda w: NOT regexp_matches(w, '[aeiouyAEIOUY]'))) > 0 AND NOT regexp_matches(text, '[\x{4e00}-\x{9fff}]')"
 REASONS = f"list_filter([CASE WHEN conf < 0.55 THEN 'low_conf' END, CASE WHEN regexp_matches(text, '\\d{{10,}}') THEN 'noise_digits' END, CASE WHEN {_REPEAT} THEN 'char_repeat' END, CASE WHEN len(regexp_extract_all(text, '\\?')) >= 2 THEN 'junk_marks' END, CASE WHEN {_MUTE} THEN 'no_vowel' END], lambda r: r IS NOT NULL)"
 VERDICT = "CASE WHEN conf < 0.35 OR list_contains(reasons, 'noise_digits') OR list_contains(reasons, 'char_repeat') THEN 'skip' WHEN len(reasons) > 0 THEN 'review' ELSE 'ok' END"
 REASON = r"CASE WHEN verdict = 'skip' THEN 'qc_skip' WHEN cls = 'skip_numeric' THEN 'skip_numeric' WHEN regexp_matches(text, '(?i)^AI\s*[6OG&]\s*Z?\s*GROWTH$') THEN 'decoration' WHEN y1 - y0 < 5 THEN 'too_small' WHEN regexp_matches(text, '[\x{4e00}-\x{9fff}]') AND NOT regexp_matches(text, '[A-Za-z]{3,}') THEN 'already_zh' END"
