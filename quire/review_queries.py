@@ -302,6 +302,33 @@ def latin_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("page", "ln", F.bround(T.latin_ratio(F.col("text")), 6).alias("ratio"))
 
 
+_W = r"[\x{2e81}-\x{2fff}\x{3040}-\x{feff}\x{fff0}-\x{10ffff}]"
+
+
+def _wrapped(run: str, other: str) -> str:
+    lettered = f"({run}*[A-Za-z]{run}*)"
+    return rf""", wt AS (SELECT page, ln, regexp_replace(regexp_replace(tgt, '({_W}){lettered}', '\1' || chr(8201) || '\2', 'g'), '{lettered}({_W})', '\1' || chr(8201) || '\2', 'g') AS t FROM pairs),
+wr AS (SELECT page, ln, flatten(list_transform(regexp_extract_all(t, '{run}+|{other}+'), lambda p: CASE WHEN regexp_matches(p, '^{run}') THEN regexp_extract_all(p, '[^f]*f|[^f]+') ELSE [p] END)) AS r FROM wt)
+SELECT page, ln, array_to_string(r, '|') AS runs, len(list_filter(r, lambda p: regexp_matches(p, '^{run}'))) AS n_latin FROM wr"""
+
+
+def _wrapped_runs(spark: SparkSession, sf_dir: str, run: str) -> DataFrame:
+    runs = pairs(spark, sf_dir).select("page", "ln", T.runs_of(F.col("tgt"), F.lit(10.0), run).alias("r"))
+    return runs.select("page", "ln", F.array_join(F.transform("r", lambda x: x["run"]), "|").alias("runs"), F.size(F.filter("r", lambda x: x["latin"])).alias("n_latin"))
+
+
+@query("wrapped_runs", sql("pairs", _wrapped(r"[\x20-\x7e]", r"[^\x20-\x7e]")))
+def wrapped_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of targets in the text layer."""
+    return _wrapped_runs(spark, sf_dir, T.LATIN_RUN)
+
+
+@query("wrapped_overlay_runs", sql("pairs", _wrapped("[0-9A-Za-z]", "[^0-9A-Za-z]")))
+def wrapped_overlay_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of targets in overlays."""
+    return _wrapped_runs(spark, sf_dir, T.OVERLAY_RUN)
+
+
 @query("deskewed_boxes", sql("blocks", ", d AS (SELECT page, ln, radians((ln % 11) - 5.0::DOUBLE) AS r, list_transform([[x0, y0], [x1, y0], [x0, y1], [x1, y1]], lambda p: [p[1] - 300, p[2] - 400]) AS c FROM blocks), e AS (SELECT page, ln, list_transform(c, lambda p: p[1] * cos(r) - p[2] * sin(r) + 300) AS xs, list_transform(c, lambda p: p[1] * sin(r) + p[2] * cos(r) + 400) AS ys FROM d) SELECT page, ln, round_even(greatest(0, list_min(xs)), 4) AS x0, round_even(greatest(0, list_min(ys)), 4) AS y0, round_even(least(600, list_max(xs)), 4) AS x1, round_even(least(800, list_max(ys)), 4) AS y1 FROM e"))
 def deskewed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes turned back by up to five degrees."""

@@ -95,3 +95,16 @@ def test_widths_and_colors(spark):
     assert [round(v, 6) for v in values(spark, T.width_em, "ab中")] == [2.12]
     df = spark.createDataFrame([(0x1FF0080,)], "c int")
     assert df.select(T.color_hex(F.col("c"))).first()[0] == "#ff0080"
+
+
+def test_runs_are_spaced_and_cut(spark):
+    """Thin spaces beside letters only, runs cut after each f, larger Latin unless it is most of the text."""
+    cases = [("用API做off", 10.0), ("共12个", 10.0), ("（API）与SaaS。", 16.0), ("mostly latin 字", 10.0), ("", 10.0)]
+    df = spark.createDataFrame(cases, "t string, s double")
+    got = [[(x["run"], x["latin"], x["scale"]) for x in r["r"]] for r in df.select(T.runs_of(F.col("t"), F.col("s")).alias("r")).collect()]
+    thin = "\u2009"
+    assert got[0] == [("用" + thin, False, 1.0), ("API", True, 1.0), (thin + "做" + thin, False, 1.0), ("of", True, 1.0), ("f", True, 1.0)]
+    assert got[1] == [("共", False, 1.0), ("12", True, 1.06), ("个", False, 1.0)]
+    assert [x for x, _, _ in got[2]] == ["（", "API", "）与" + thin, "SaaS", "。"] and got[3][0][2] == 1.0 and got[4] == []
+    over = df.limit(2).select(T.runs_of(F.concat(F.col("t"), F.lit("-x")), F.lit(10.0), T.OVERLAY_RUN).alias("r")).first()["r"]
+    assert [x["run"] for x in over][-2:] == ["-", "x"]
