@@ -169,7 +169,8 @@ def num_missing(src: Column, found: Column) -> Column:
 def nums(c: Column) -> Column:
     """All numbers, those in English words too."""
     table = F.create_map(*[F.lit(x) for pair in NUMBER_WORDS.items() for x in pair])
-    spoken = F.array_compact(F.transform(words(F.lower(c)), lambda w: F.try_element_at(table, w)))
+    # Membership in a literal set is one hash look-up for a word; the map is asked for few.
+    spoken = F.transform(F.filter(words(F.lower(c)), lambda w: w.isin(*NUMBER_WORDS)), lambda w: F.try_element_at(table, w))
     return F.array_sort(F.array_union(num_runs(c, every=True), spoken))
 
 
@@ -185,8 +186,7 @@ def classify_number(missing: Column, src: Column, tgt: Column) -> Column:
 
 
 def content_words(c: Column, stop: tuple[str, ...] = STOP_LONG, least: int = 2) -> Column:
-    found = F.filter(words(F.lower(c)), lambda w: F.length(w) >= least)
-    return F.array_sort(F.array_except(found, F.array(*map(F.lit, stop))))
+    return F.array_sort(F.array_distinct(F.filter(words(F.lower(c)), lambda w: (F.length(w) >= least) & ~w.isin(*stop))))
 
 
 def short_content_words(c: Column) -> Column:
