@@ -391,7 +391,7 @@ def band_of(n: np.ndarray, percent: int) -> np.ndarray:
 CHAINS = "bucket int, h binary, bands binary, nodes binary, least binary, most binary, a binary, b binary"
 
 
-def _chains(percent: int, buckets: int, most: int = 2_000_000):
+def _chains(percent: int, buckets: int, most: int = 500_000):
     """Prefix shingles of all classes, joined within the task and packed by bucket, and then edges that cluster classes."""
     from quire.llm.components import forest
 
@@ -495,11 +495,11 @@ def _signed(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(common.tidied(run), f"cluster long, node long, n long, shingles binary, band long, {', '.join(f'least{k} long' for k in range(ROUNDS))}")
 
 
-def _dealt(rows: DataFrame, key: list[Column], chunk_sets: int, chunk_shingles: int) -> DataFrame:
-    """Rows with grp: those of one key together, or in several parts where they are too many."""
+def _dealt(rows: DataFrame, key: list[Column], chunk_sets: int, chunk_shingles: int, deal: int) -> DataFrame:
+    """Rows with grp: those of one key together, or in several parts where they are too many, others in each deal."""
     rows = rows.withColumn("__key", F.xxhash64(*key))
     per = rows.groupBy("__key").agg(F.ceil(F.greatest(F.count(F.lit(1)) / chunk_sets, F.sum(F.octet_length("shingles")) / (8 * chunk_shingles))).cast("long").alias("__parts"))
-    return rows.join(per, "__key").withColumn("grp", F.xxhash64("__key", F.pmod(F.xxhash64("node", F.lit(7)), "__parts"))).drop("__key", "__parts")
+    return rows.join(per, "__key").withColumn("grp", F.xxhash64("__key", F.pmod(F.xxhash64("node", F.lit(7 + deal)), "__parts"))).drop("__key", "__parts")
 
 
 def _tokens(rows: DataFrame, percent: int) -> DataFrame:
@@ -532,12 +532,12 @@ def _links(classes: DataFrame, percent: int, tasks: int, chunk_sets: int, chunk_
     mine = common.stored(_signed(sized.join(large, "cluster").select("cluster", "node", "n", "shingles"), percent), "signed")
     for k in range(ROUNDS):
         by_least = mine.join(large, "cluster").withColumn("deal", F.pmod(f"least{k}", "chunks"))
-        dealt = _dealt(by_least, [F.col("cluster"), F.col("deal")], chunk_sets, chunk_shingles)
+        dealt = _dealt(by_least, [F.col("cluster"), F.col("deal")], chunk_sets, chunk_shingles, k)
         links = common.stored(links.unionByName(_grouped(dealt.withColumns(alone), percent)), f"links-{k}")
     # Sets outside of each cluster's largest class meet all sets that share a prefix shingle with them.
     roots = mine.join(large, "cluster").join(components(links, **kw), "node", "left").withColumn("root", F.coalesce("root", "node"))
     by_band = [F.col("cluster"), F.col("band"), F.pmod("least0", "chunks")]
-    dealt = common.stored(_dealt(roots, by_band, chunk_sets, chunk_shingles).select("cluster", "node", "n", "shingles", "grp", "root"), "dealt")
+    dealt = common.stored(_dealt(roots, by_band, chunk_sets, chunk_shingles, ROUNDS).select("cluster", "node", "n", "shingles", "grp", "root"), "dealt")
     counts = dealt.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("k"))
     largest = counts.groupBy("cluster").agg(F.max(F.struct("k", "root")).alias("m")).select("cluster", F.col("m.root").alias("largest"))
     outside = common.stored(dealt.join(largest, "cluster").where("root <> largest").drop("largest"), "outside")
