@@ -171,6 +171,13 @@ def test_units_keep_columns_apart():
     assert [u[12] for u in got] == [2, 2, 1, 1]
 
 
+def test_units_that_begin_at_the_same_place_stay_in_order():
+    """Units that reach the left edge only by a later line come after those opened before them, whatever order the lines come in."""
+    rows = [line(0, 0, 0, "z"), line(1, 200, 0, "y", font="B"), line(2, 300, 0, "x", font="I"), line(3, 0, 12, "b", 400, "I"), line(4, 0, 12, "a", 400, "B")]
+    for some in (rows, rows[::-1], rows[2:] + rows[:2]):
+        assert [(u[2], u[3], u[4], u[7]) for u in layout.page_units(some)] == [(0, 0.0, 0.0, "z"), (1, 0.0, 0.0, "y a"), (2, 0.0, 0.0, "x b")]
+
+
 def unit(i, x0, x1, y0, lines=(), align="left", size=10.0, text="Some words", width=600.0):
     spans = [{"x0": float(a), "x1": float(b), "y0": 0.0, "y1": 0.0} for a, b in lines] or [{"x0": float(x0), "x1": float(x1), "y0": 0.0, "y1": 0.0}]
     return {"doc": 1, "page": 1, "unit": i, "x0": float(x0), "x1": float(x1), "y0": float(y0), "y1": float(y0 + 10), "nlines": len(spans), "lines": spans, "align": align, "size": size, "text": text, "width": width}
